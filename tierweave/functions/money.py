@@ -122,7 +122,8 @@ def price(text: Column | str) -> Column:
 
 
 def price_per_million(text: Column | str) -> Column:
-    return F.format_string("%.4f", price(text) * 1e6)
+    p = price(text)
+    return F.when(p.isNotNull(), F.format_string("%.4f", p * 1e6))
 
 
 def pricing_model(prompt: Column | str, completion: Column | str) -> Column:

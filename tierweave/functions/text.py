@@ -43,7 +43,7 @@ def slugify(text: Column | str) -> Column:
     folded = fold_latin(text)
     kept = F.regexp_replace(F.lower(folded), r"[^A-Za-z0-9_\s-]", "")
     slug = F.btrim(F.regexp_replace(strip(kept), r"[-\s]+", "-"), F.lit("-"))
-    return F.when(~folded.rlike(r"[^\x00-\x7F&&\p{L}]"), slug)
+    return F.when(~folded.rlike(r"(?![\x00-\x7F])\p{L}"), slug)
 
 
 def valid_slug(slug: Column | str) -> Column:

@@ -64,12 +64,14 @@ def _summarise_scalars(records: DataFrame) -> DataFrame:
 def _items_long(records: DataFrame) -> DataFrame:
     """(slug, field, item, payload) rows of every array value and source link."""
     allowed = F.col("source_tier") != AUXILIARY
-    parts = []
-    for c, path in ARRAY_PATHS.items():
+
+    def items_of(c: str, path: str) -> Column:
         is_struct = isinstance(schemas.RECORD[c].dataType.elementType, T.StructType)
-        to_text = (lambda x: F.to_json(x)) if is_struct else (lambda x: x)
-        items = F.transform(F.col(c), lambda x, to_text=to_text: F.struct(F.lit(path).alias("field"), to_text(x).alias("item")))
-        parts.append(F.when(F.lit(path in HIRING_PATHS) | allowed, items))
+        items = F.transform(c, lambda x: F.struct(
+            F.lit(path).alias("field"), (F.to_json(x) if is_struct else x).alias("item")))
+        return F.when(F.lit(path in HIRING_PATHS) | allowed, items)
+
+    parts = [items_of(c, path) for c, path in ARRAY_PATHS.items()]
     link = F.array(F.struct(F.lit("sources").alias("field"), F.col("source_url").alias("item")))
     parts.append(F.when(truthy("source_url"), link))
     none = F.array().cast("array<struct<field:string,item:string>>")

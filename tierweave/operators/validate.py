@@ -65,13 +65,12 @@ def dangling_references(catalog: DataFrame, slugs: DataFrame | None = None) -> D
     name does not decide the size of one task.
     """
     known = (catalog if slugs is None else slugs).select(F.col("slug").alias("referenced_slug"))
-    links = F.flatten(F.array(*[
-        F.coalesce(
-            F.transform(F.col(f), lambda r, f=f: F.struct(F.lit(f).alias("field"), r.alias("referenced_slug"))),
-            F.array().cast("array<struct<field:string,referenced_slug:string>>"),
-        )
-        for f in REFERENCE_FIELDS
-    ]))
+
+    def links_of(field: str) -> Column:
+        found = F.transform(field, lambda r: F.struct(F.lit(field).alias("field"), r.alias("referenced_slug")))
+        return F.coalesce(found, F.array().cast("array<struct<field:string,referenced_slug:string>>"))
+
+    links = F.flatten(F.array(*[links_of(f) for f in REFERENCE_FIELDS]))
     edges = catalog.select(F.col("slug").alias("product_slug"), F.explode(links).alias("l")).select("product_slug", "l.*")
     edges = edges.filter(F.col("referenced_slug").isNotNull())
     missing = edges.select("referenced_slug").distinct().join(known, "referenced_slug", "left_anti")
