@@ -1 +1,192 @@
-"""Bound queries."""
+"""Entity resolution, similarity joins and cross-record checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tierweave.bindings import CATALOG, INCOMING
+from tierweave.checks.functions import DOMAIN_SQL
+from tierweave.checks.registry import bound, in_list, lit, query
+from tierweave.fixed.scoring import AGGREGATOR_HOSTS
+from tierweave.operators import crossval, resolve, similarity
+
+R = "WITH " + bound(INCOMING, "r") + ", " + bound(CATALOG, "c") + " "
+DOMAINS = f"(SELECT d, max(slug) AS match_slug FROM (SELECT {DOMAIN_SQL.format('product_url')} AS d, slug FROM c UNION ALL SELECT {DOMAIN_SQL.format('company_website')}, slug FROM c WHERE company_website <> '') GROUP BY d)"
+
+
+@query("j1_match_product_domain", R + f"SELECT r.seq, k.match_slug FROM r JOIN {DOMAINS} k ON {DOMAIN_SQL.format('r.product_url')} = k.d WHERE r.product_url <> ''")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "product_domain")
+
+
+@query("j1_pages_by_domain", f"SELECT a.page_id, max(b.page_id) AS partner FROM pages a JOIN pages b ON {DOMAIN_SQL.format('a.url')} = {DOMAIN_SQL.format('b.url')} GROUP BY a.page_id")
+def _(t):
+    from tierweave.functions.url import extract_domain
+
+    held = t.pages.groupBy(extract_domain("url").alias("domain")).agg(F.max("page_id").alias("partner"))
+    return t.pages.withColumn("domain", extract_domain("url")).join(held, "domain").select("page_id", "partner")
+
+
+@query("j2_match_company_domain", R + f"SELECT r.seq, k.match_slug FROM r JOIN {DOMAINS} k ON {DOMAIN_SQL.format('r.company_website')} = k.d WHERE r.company_website <> ''")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "company_domain")
+
+
+@query("j3_match_name", R + "SELECT r.seq, max(c.slug) AS match_slug FROM r JOIN c ON lower(r.name) = lower(c.name) GROUP BY r.seq")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "name")
+
+
+@query("j4_match_name_zh", R + "SELECT r.seq, max(c.slug) AS match_slug FROM r JOIN c ON r.name_zh = c.name_zh GROUP BY r.seq")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "name_zh")
+
+
+@query("j5_match_cross_lingual", R + "SELECT r.seq, max(c.slug) AS match_slug FROM r JOIN c ON lower(r.name) = lower(c.name_zh) GROUP BY r.seq")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "cross_lingual")
+
+
+@query("j7_match_slug", R + "SELECT seq, slug AS match_slug FROM r JOIN c ON replace(lower(r.name), ' ', '-') = slug WHERE seq % 6 = 2")
+def _(t):
+    return resolve.match_by(t.incoming, t.catalog, "slug").join(t.incoming.filter("seq % 6 = 2").select("seq"), "seq").select("seq", "match_slug")
+
+
+@query("j8_resolve_exact", R + f"""SELECT seq, coalesce(m1, m2, m3, m4, m5, m7) AS match_slug, CASE WHEN m1 IS NOT NULL THEN 'product_domain' WHEN m2 IS NOT NULL THEN 'company_domain' WHEN m3 IS NOT NULL THEN 'name'
+   WHEN m4 IS NOT NULL THEN 'name_zh' WHEN m5 IS NOT NULL THEN 'cross_lingual' WHEN m7 IS NOT NULL THEN 'slug' END AS match_rule FROM (
+  SELECT r.seq, (SELECT max(match_slug) FROM {DOMAINS} k WHERE k.d = {DOMAIN_SQL.format('r.product_url')} AND r.product_url <> '') AS m1,
+   (SELECT max(match_slug) FROM {DOMAINS} k WHERE k.d = {DOMAIN_SQL.format('r.company_website')} AND r.company_website <> '') AS m2,
+   (SELECT max(slug) FROM c WHERE lower(c.name) = lower(r.name)) AS m3, (SELECT max(slug) FROM c WHERE c.name_zh = r.name_zh) AS m4,
+   (SELECT max(slug) FROM c WHERE lower(c.name_zh) = lower(r.name)) AS m5,
+   (SELECT max(slug) FROM c WHERE c.slug = replace(regexp_replace(lower(r.name), '[#.,]', '', 'g'), ' ', '-') AND r.seq % 6 NOT IN (1)) AS m7 FROM r)""")
+def _(t):
+    return resolve.resolve(t.incoming, t.catalog, fuzzy=False).select("seq", "match_slug", "match_rule")
+
+
+@query("j8_resolve")
+def _(t):
+    return resolve.resolve(t.incoming, t.catalog).select("seq", "match_slug", "match_rule")
+
+
+def _edited_parts(t):
+    """Distinct part names with one deterministic edit."""
+    n = F.lower("p_name")
+    return t.part.select("p_name", "p_partkey").groupBy("p_name").agg(F.min("p_partkey").alias("k")).select(
+        F.when(F.col("k") % 3 == 0, F.concat(n, F.lit("s"))).when(F.col("k") % 3 == 1, F.concat(F.substr(n, F.lit(1), F.lit(3)), F.substr(n, F.lit(5))))
+        .otherwise(F.concat(n, F.lit(" kit set"))).alias("name"))
+
+
+LCS = """list_last(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: [i]), lambda acc, i: list_reduce(
+ list_transform(range(1, length({b}) + 1), lambda j: [j]), lambda row, j: list_append(row, CASE WHEN substr({a}, i[1], 1) = substr({b}, j[1], 1) THEN acc[j[1]] + 1 ELSE greatest(acc[j[1] + 1], list_last(row)) END), [0]::BIGINT[]), list_transform(range(0, length({b}) + 1), lambda z: 0::BIGINT)))"""
+EDITED = "(SELECT CASE WHEN k % 3 = 0 THEN lower(p_name) || 's' WHEN k % 3 = 1 THEN substr(lower(p_name), 1, 3) || substr(lower(p_name), 5) ELSE lower(p_name) || ' kit set' END AS name FROM (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY p_name))"
+PART_NAMES = "(SELECT lower(p_name) AS part, max('part-' || p_partkey) AS slug FROM part GROUP BY 1)"
+
+
+@query("x10_similarity", f"SELECT e.name, n.part, 2.0::DOUBLE * {LCS.format(a='e.name', b='n.part')} / (length(e.name) + length(n.part)) AS ratio FROM {EDITED} e JOIN {PART_NAMES} n ON substr(e.name, 1, 2) = substr(n.part, 1, 2)")
+def _(t):
+    n = t.part.select(F.lower("p_name").alias("part")).distinct()
+    both = _edited_parts(t).join(n, F.substring("name", 1, 2) == F.substring("part", 1, 2))
+    return both.withColumn("ratio", similarity.similarity_ratio("name", "part"))
+
+
+@query("j6_fuzzy_name", f"""SELECT name, slug, ratio FROM (SELECT e.name, n.slug, {LCS.format(a='e.name', b='n.part')} AS l, 2.0::DOUBLE * l / (length(e.name) + length(n.part)) AS ratio,
+  greatest(length(e.name), length(n.part)) - l AS cut FROM {EDITED} e, {PART_NAMES} n) WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY name ORDER BY cut, ratio DESC, slug) = 1""")
+def _(t):
+    return similarity.fuzzy_name_match(_edited_parts(t), t.part.select(F.lower("p_name").alias("name"), F.concat(F.lit("part-"), "p_partkey").alias("slug")))
+
+
+def _texts(t):
+    return t.documents.select(F.concat(F.lit("doc-"), "doc_id").alias("slug"), "text")
+
+
+@query("j14_near_duplicate_texts")
+def _(t):
+    return similarity.near_duplicate_texts(_texts(t), _texts(t)).select("slug", "other_slug", "ratio")
+
+
+@query("j14_against_benchmark")
+def _(t):
+    held = t.benchmark.select(F.concat(F.lit("item-"), "item_id").alias("slug"), "text")
+    return similarity.near_duplicate_texts(_texts(t), held).select("slug", "other_slug", "ratio")
+
+
+@query("j15_near_duplicate_zh")
+def _(t):
+    zh = t.catalog.select("slug", F.concat(F.lit("面向企业的智能搜索平台，支持多模态检索与自动化流程"), F.coalesce("description_zh", F.lit(""))).alias("text")).filter("slug like '%5'")
+    return similarity.near_duplicate_texts(zh, zh).select("slug", "other_slug", "ratio")
+
+
+# ---------------------------------------------------------------- cross-validation
+
+
+def _candidates(t):
+    """Orders that bring names and URLs, some of them owned by customers."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return t.orders.select(
+        F.concat(F.lit("order-"), k).alias("slug"), k.alias("seq"),
+        F.when(k % 5 == 0, F.concat(F.lit("客户"), c)).otherwise(F.concat(F.lit("Order "), k)).alias("name"),
+        F.when(k % 4 == 0, F.concat(F.lit("客户"), c)).when(k % 4 == 1, F.format_string("customer#%09d", c)).when(k % 4 == 2, F.concat(F.lit("订单"), k)).alias("name_zh"),
+        F.when(k % 6 == 0, F.concat(F.lit("https://www.c"), c % 997, F.lit(".example.com/p/"), c)).when(k % 6 == 1, F.concat(F.lit("https://www.toolify.ai/"), k))
+        .when(k % 6 == 2, F.concat(F.lit("https://o.example/"), (k / 12).cast("long"))).alias("product_url"),
+        F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("description_zh"),
+    )
+
+
+CAND = """k AS (SELECT 'order-' || o_orderkey AS slug, o_orderkey AS seq, CASE WHEN o_orderkey % 5 = 0 THEN '客户' || o_custkey ELSE 'Order ' || o_orderkey END AS name,
+  CASE o_orderkey % 4 WHEN 0 THEN '客户' || o_custkey WHEN 1 THEN 'customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') WHEN 2 THEN '订单' || o_orderkey END AS name_zh,
+  CASE o_orderkey % 6 WHEN 0 THEN 'https://www.c' || (o_custkey % 997) || '.example.com/p/' || o_custkey WHEN 1 THEN 'https://www.toolify.ai/' || o_orderkey WHEN 2 THEN 'https://o.example/' || (o_orderkey // 12) END AS product_url FROM orders)"""
+V = "WITH " + bound(CATALOG, "c") + ", " + CAND + " "
+
+
+def _first_claim(c: str) -> str:
+    return f"(SELECT {c} AS v, arg_min(slug, seq) AS owner, min(seq) AS s FROM k WHERE {c} <> '' GROUP BY {c})"
+
+
+@query("j11_name_zh_owned", V + "SELECT DISTINCT k.slug, k.name_zh FROM k JOIN c ON (c.name_zh = k.name_zh OR lower(c.name) = lower(k.name_zh)) AND c.slug <> k.slug")
+def _(t):
+    k = crossval.equality_violations(_candidates(t).select("slug", "seq", F.lit(None).cast("string").alias("name"), "name_zh", F.lit(None).cast("string").alias("product_url")), t.catalog)
+    owned = k.filter(F.col("conflicting_slug").startswith("customer"))
+    return owned.select(F.col("target_slug").alias("slug"), F.col("rejected_value").alias("name_zh"))
+
+
+@query("j12_name_owned", V + "SELECT DISTINCT k.slug, k.name FROM k JOIN c ON c.name_zh = k.name AND c.slug <> k.slug")
+def _(t):
+    none = F.lit(None).cast("string")
+    k = crossval.equality_violations(_candidates(t).select("slug", "seq", "name", none.alias("name_zh"), none.alias("product_url")), t.catalog)
+    return k.select(F.col("target_slug").alias("slug"), F.col("rejected_value").alias("name"))
+
+
+@query("j13_url_owned", V + "SELECT DISTINCT k.slug, k.product_url, c.slug AS conflicting_slug FROM k JOIN c ON c.product_url = k.product_url AND c.slug <> k.slug")
+def _(t):
+    none = F.lit(None).cast("string")
+    k = crossval.equality_violations(_candidates(t).select("slug", "seq", none.alias("name"), none.alias("name_zh"), "product_url"), t.catalog)
+    return k.filter(F.col("conflicting_slug").startswith("customer")).select(F.col("target_slug").alias("slug"), F.col("rejected_value").alias("product_url"), "conflicting_slug")
+
+
+@query("w4_batch_claims", V + f"SELECT k.slug, k.product_url, f.owner AS conflicting_slug FROM k JOIN {_first_claim('product_url')} f ON f.v = k.product_url WHERE f.owner <> k.slug AND NOT EXISTS (SELECT 1 FROM c WHERE c.product_url = k.product_url)")
+def _(t):
+    none = F.lit(None).cast("string")
+    k = crossval.equality_violations(_candidates(t).select("slug", "seq", none.alias("name"), none.alias("name_zh"), "product_url"), t.catalog)
+    return k.filter(F.col("conflicting_slug").startswith("order")).select(F.col("target_slug").alias("slug"), F.col("rejected_value").alias("product_url"), "conflicting_slug")
+
+
+@query("c4_cross_validate", V + f"""SELECT slug, 'product_url' AS field, 'product_url points to aggregator site ''toolify.ai''' AS reason, 'error' AS severity FROM k WHERE split_part(split_part(product_url, '//', 2), '/', 1) IN ('www.{AGGREGATOR_HOSTS[3]}')
+  UNION ALL SELECT k.slug, 'product_url', 'product_url already belongs to product ''' || coalesce(o.slug, f.owner) || '''', 'error' FROM k LEFT JOIN (SELECT product_url, max(slug) AS slug FROM c GROUP BY 1) o USING (product_url) LEFT JOIN {_first_claim('product_url')} f ON f.v = k.product_url
+    WHERE (o.slug IS NOT NULL OR f.owner <> k.slug) AND NOT contains(k.product_url, 'toolify')
+  UNION ALL SELECT k.slug, 'name', 'name ''' || k.name || ''' matches name_zh of ''' || c.slug || '''', 'error' FROM k JOIN c ON c.name_zh = k.name
+  UNION ALL SELECT k.slug, 'name_zh', CASE WHEN z.slug IS NOT NULL THEN 'name_zh ''' || k.name_zh || ''' already belongs to product ''' || z.slug || '''' WHEN n.slug IS NOT NULL THEN 'name_zh ''' || k.name_zh || ''' matches English name of ''' || n.slug || '''' ELSE 'name_zh ''' || k.name_zh || ''' already belongs to product ''' || f.owner || '''' END, 'error'
+    FROM k LEFT JOIN c z ON z.name_zh = k.name_zh LEFT JOIN c n ON lower(n.name) = lower(k.name_zh) LEFT JOIN {_first_claim('name_zh')} f ON f.v = k.name_zh WHERE z.slug IS NOT NULL OR n.slug IS NOT NULL OR f.owner <> k.slug""")
+def _(t):
+    v = crossval.cross_validate(_candidates(t), t.catalog, similar=False)
+    return v.select(F.col("target_slug").alias("slug"), "field", "reason", "severity")
+
+
+@query("j16_company_consistency", "WITH " + bound(CATALOG, "c") + """, f AS (SELECT company_name, arg_min(slug, slug || '.json') AS ref, arg_min(coalesce(country, '?'), slug || '.json') AS ref_country, arg_min(coalesce(founded_year, 0), slug || '.json') AS ref_year FROM c GROUP BY 1)
+  SELECT slug AS target_slug, 'company.headquarters.country' AS field, country AS rejected_value, ref AS conflicting_slug FROM c JOIN f USING (company_name) WHERE slug <> ref AND country <> '' AND ref_country NOT IN ('', '?') AND country <> ref_country
+  UNION ALL SELECT slug, 'company.founded_year', CAST(founded_year AS VARCHAR), ref FROM c JOIN f USING (company_name) WHERE slug <> ref AND founded_year <> 0 AND ref_year <> 0 AND founded_year <> ref_year""")
+def _(t):
+    c = t.catalog.select("slug", F.col("company.name").alias("company"), F.col("company.headquarters.country").alias("country"), F.col("company.founded_year").alias("founded_year"))
+    return crossval.company_mismatches(c, c).select("target_slug", "field", "rejected_value", "conflicting_slug")
+
+
+_ = (in_list, lit)

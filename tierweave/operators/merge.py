@@ -19,6 +19,7 @@ from tierweave.fixed.taxonomy import MAX_TAGS
 from tierweave.functions.base import blank_to_null, truthy
 from tierweave.functions.geo import trust_score
 from tierweave.functions.url import company_url
+from tierweave.session import cut_lineage
 
 AUXILIARY, GENERATED = 4, 3
 
@@ -386,6 +387,8 @@ def create_products(records: DataFrame, as_of: Column, last_wins: bool = False)
     created = _create_single(lead, as_of)
     if last_wins:
         return created
+    # the merge reads every field several times: from here on they are stored, not derived
+    created = cut_lineage(created)
     firsts = lead.select("slug", F.col("seq").alias("first_seq"))
     rest = records.join(firsts, "slug").filter(F.col("seq") > F.col("first_seq")).select(*names)
     return tiered_merge(created, rest, as_of)
