@@ -16,7 +16,7 @@ def matches(body: Column, pattern: str, groups: int) -> Column:
     """Array of structs g1..gn, one per match; a group that took no part is ''."""
     parts = [F.regexp_extract_all(body, F.lit(pattern), F.lit(g)) for g in range(1, groups + 1)]
     return F.transform(F.arrays_zip(*[p.alias(f"a{i}") for i, p in enumerate(parts)]), lambda z: F.struct(*[
-        strip(z[str(i)]).alias(f"g{i + 1}") for i in range(groups)
+        strip(z[f"a{i}"]).alias(f"g{i + 1}") for i in range(groups)
     ]))
 
 

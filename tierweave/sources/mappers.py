@@ -49,8 +49,7 @@ def _unique(records: DataFrame, key: Column) -> DataFrame:
 @source("wikidata", 1)
 def wikidata(landed: DataFrame) -> DataFrame:
     """Company bindings, first per label, with the people bindings of the entity."""
-    bindings = "struct<results:struct<bindings:array<map<string,struct<value:string>>>>>"
-    ddl = bindings[len("struct<"):-1]
+    ddl = "results struct<bindings:array<map<string,struct<value:string>>>>"
 
     def val(key: str) -> Column:
         return blank_to_null(F.try_element_at("i", F.lit(key))["value"])
