@@ -208,7 +208,7 @@ def _(t):
     return mapped("app_store", landed(t.part, "p_partkey", "app_store", F.to_json(F.struct(F.array(app, app).alias("results"))))).select("name", "source_url", F.try_element_at("extra", F.lit("app_store_rating")).alias("rating"))
 
 
-@query("m21_job_listings", "SELECT 'Firm ' || p_partkey AS company_name, '' AS location, '算法工程师' || p_partkey AS job_title, '' AS salary FROM part UNION ALL SELECT 'Co ' || p_partkey, '上海', 'Row job ' || p_partkey, '' FROM part UNION ALL SELECT 'Card firm ' || p_partkey, '深圳', 'Card job ' || p_partkey, '' FROM part")
+@query("m21_job_listings", "SELECT 'Firm ' || p_partkey AS company_name, '职位 | 公司 | 地点 |' AS location, '算法工程师' || p_partkey AS job_title, '' AS salary FROM part UNION ALL SELECT 'Co ' || p_partkey, '上海', 'Row job ' || p_partkey, '' FROM part UNION ALL SELECT 'Card firm ' || p_partkey, '深圳', 'Card job ' || p_partkey, '' FROM part")
 def _(t):
     body = F.expr("concat(repeat('填充 ', 40), '\\n## 算法工程师', p_partkey, '\\nFirm ', p_partkey, '\\n\\n| 职位 | 公司 | 地点 |\\n| Row job ', p_partkey, ' | Co ', p_partkey, ' | 上海 |\\n\\n**Card job ', p_partkey, '**\\nCard firm ', p_partkey, ' · 深圳\\n')")
     return job_listings(landed(t.part, "p_partkey", "jobs", body)).select("company_name", "location", "job_title", "salary")

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tierweave.operators.gaps import answers_to_records, compose_prompt, find_gaps
 from tierweave.operators.merge import tiered_merge
 from tierweave.operators.tags import low_quality
+from tierweave.session import cut_lineage
 
 
 def requests(catalog: DataFrame, max_score: float = 0.6, limit: int = 10) -> DataFrame:
     """(slug, gaps, prompt) of the first weak products with gaps."""
-    weak = low_quality(catalog, max_score, limit).withColumn("gaps", find_gaps())
+    weak = cut_lineage(low_quality(catalog, max_score, limit)).withColumn("gaps", find_gaps())
     return weak.filter(F.size("gaps") > 0).select("slug", "gaps", compose_prompt(F.col("gaps")).alias("prompt"))
 
 
