@@ -188,6 +188,6 @@ def rescore_summary(scored: DataFrame) -> DataFrame:
 
 
 def low_quality(catalog: DataFrame, max_score: float = 0.6, limit: int = 10) -> DataFrame:
-    """First ``limit`` products, by file name, whose score does not exceed ``max_score``."""
-    scored = catalog.withColumn("new_score", quality_score())
-    return scored.filter(F.col("new_score") <= max_score).orderBy(F.concat("slug", F.lit(".json"))).limit(limit)
+    """(slug, new_score) of the first ``limit`` products, by file name, that score at most ``max_score``."""
+    scored = catalog.select("slug", quality_score().alias("new_score")).filter(F.col("new_score") <= max_score)
+    return scored.orderBy(F.concat("slug", F.lit(".json"))).limit(limit)

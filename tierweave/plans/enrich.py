@@ -13,7 +13,8 @@ from tierweave.session import cut_lineage
 
 def requests(catalog: DataFrame, max_score: float = 0.6, limit: int = 10) -> DataFrame:
     """(slug, gaps, prompt) of the first weak products with gaps."""
-    weak = cut_lineage(low_quality(catalog, max_score, limit)).withColumn("gaps", find_gaps())
+    picked = cut_lineage(low_quality(catalog, max_score, limit).select("slug"))
+    weak = catalog.join(picked, "slug", "left_semi").withColumn("gaps", find_gaps())
     return weak.filter(F.size("gaps") > 0).select("slug", "gaps", compose_prompt(F.col("gaps")).alias("prompt"))
 
 
