@@ -34,9 +34,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 def corrupt_records(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, body) of the documents that do not parse."""
-    # the corrupt column alone would be pruned to an unparsed scan, so another one is kept
-    docs = read_documents(spark, path).select("file_name", "slug", F.col(CORRUPT).alias("body"))
-    return docs.filter(F.col("body").isNotNull()).drop("slug")
+    # an unparsable document has no slug; naming the slug keeps the scan a parsed one
+    docs = read_documents(spark, path).filter(F.col(CORRUPT).isNotNull() & F.col("slug").isNull())
+    return docs.select("file_name", F.col(CORRUPT).alias("body"))
 
 
 def corrupt_bodies(df: DataFrame, schema: str, body: str = "body") -> DataFrame:
