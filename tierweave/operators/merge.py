@@ -35,6 +35,10 @@ def _slot(path: str) -> str:
     return "w__" + path.replace(".", "__")
 
 
+def _value(path: str) -> str:
+    return "v__" + path.replace(".", "__")
+
+
 def _winner(value: Column, allowed: Column) -> Column:
     """First arrival of the lowest tier among allowed, non-NULL values."""
     claim = F.struct(value.alias("value"), F.col("source_tier").alias("tier"), F.col("source"))
@@ -229,7 +233,9 @@ def tiered_merge(catalog: DataFrame, records: DataFrame, as_of: Column) -> DataF
         "meta.last_updated": F.when(touched, as_of.cast("date")).otherwise(_old("meta.last_updated")),
         "meta.provenance": F.when(touched, upsert_provenance(_old("meta.provenance"), fresh)).otherwise(_old("meta.provenance")),
     }
-    return joined.select(*_rebuild(schemas.PRODUCT, values))
+    # the new values become columns first: rebuilding a parent looks at each of them again
+    flat = joined.select("p", *[v.alias(_value(path)) for path, v in values.items()])
+    return flat.select(*_rebuild(schemas.PRODUCT, {path: F.col(_value(path)) for path in values}))
 
 
 # ---------------------------------------------------------------- creation
