@@ -1,8 +1,6 @@
 import random
 
-import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from tierweave.operators.similarity import fuzzy_name_match, lcs_length, near_duplicate_texts, ratio_at_least
 
@@ -100,5 +98,3 @@ def test_plans_have_no_cartesian_product(spark):
     plan = near_duplicate_texts(df, df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
-
-_ = (duckdb, F)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierweave.bindings import CATALOG, INCOMING, LISTINGS
+from tierweave.bindings import CATALOG, LISTINGS
 from tierweave.checks.functions import DOMAIN_SQL, as_of
 from tierweave.checks.registry import bound, query
 from tierweave.fixed.taxonomy import TAGS
@@ -146,5 +146,3 @@ def _(t):
 def _(t):
     return stats.recently_added(t.catalog)
 
-
-_ = INCOMING

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierweave.bindings import CATALOG, INCOMING
-from tierweave.checks.functions import COUNTRY_SQL, SLUG_SQL, as_of
+from tierweave.checks.functions import SLUG_SQL, as_of
 from tierweave.checks.registry import AS_OF, bound, case_map, in_list, list_lit, lit, query
 from tierweave.fixed import geo, migration, scoring, taxonomy
 from tierweave.functions.base import blank_to_null
 from tierweave.operators import gaps, index, migrate, normalize, tags, validate
-from tierweave.operators import stats as stats_ops
 
 WITH = "WITH " + bound(CATALOG, "c") + " "
 FILE = "slug || '.json'"
@@ -22,9 +21,6 @@ def flat_index(t):
 
 # ---------------------------------------------------------------- scans
 
-PROPS_IN = "CASE WHEN event_id % 17 = 0 THEN concat('{{', props) ELSE props END"
-
-
 @query("s2_corrupt_records", "SELECT event_id, '{' || props AS body FROM events WHERE event_id % 17 = 0")
 def _(t):
     from tierweave.sources.catalog_io import corrupt_bodies
@@ -473,5 +469,3 @@ def _(t):
     s = migrate.stamp_seed(t.flat_catalog.withColumn("website", F.col("company_website")), as_of())
     return s.select("slug", "meta.added_date", "meta.last_updated", F.col("meta.sources")[0].alias("source"), F.col("meta.data_quality_score").alias("score"))
 
-
-_ = (COUNTRY_SQL, stats_ops)

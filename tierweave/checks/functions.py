@@ -11,7 +11,6 @@ from tierweave.functions import money as M
 from tierweave.functions import text as X
 from tierweave.functions import url as U
 from tierweave.functions.money import ROUND_BADGES, ROUND_NAMES
-from tierweave.operators import normalize as N
 
 def as_of():
     return F.lit(AS_OF).cast("date")
@@ -354,5 +353,3 @@ def _(t):
     u = F.expr("CASE page_id % 3 WHEN 0 THEN 'https://WWW.Toolify.ai:8080/x' WHEN 1 THEN 'https://sub.toolify.ai' ELSE url END")
     return t.pages.select("page_id", U.is_aggregator(u).alias("listed"))
 
-
-_ = N

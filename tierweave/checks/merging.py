@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierweave import schemas
 from tierweave.bindings import CATALOG, INCOMING, PART_CATALOG, RECORDS
@@ -70,7 +69,7 @@ MERGED_SQL = (
 )
 
 
-@query("c1_tiered_merge", W + f", won AS {WIN_SQL.strip('()') if False else WIN_SQL} " + MERGED_SQL)
+@query("c1_tiered_merge", W + f", won AS {WIN_SQL} " + MERGED_SQL)
 def _(t):
     m = merge.tiered_merge(t.part_catalog, t.records, as_of())
 
@@ -106,11 +105,6 @@ def _(t):
         F.try_element_at(own, F.lit("name"))["tier"].alias("name_tier"), F.map_contains_key(own, "company.funding").alias("funding_owned"))
 
 
-def _keyed_records(t):
-    """Line items whose parts beyond the first half of the catalog count as new."""
-    return t.records
-
-
 @query("c3_merge_or_create", W + ", known AS (SELECT * FROM p WHERE owner_tier IS NOT NULL) SELECT slug FROM known UNION SELECT slug FROM r")
 def _(t):
     known = t.part_catalog.filter(F.col("meta.provenance").isNotNull())
@@ -176,5 +170,3 @@ def _(t):
     added = some.withColumn("slug", F.replace("slug", F.lit("customer"), F.lit("added")))
     return merge.upsert(base, some.unionByName(added)).select("slug", "name")
 
-
-_ = T

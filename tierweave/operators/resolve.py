@@ -63,7 +63,7 @@ def resolve(records: DataFrame, catalog: DataFrame, fuzzy: bool = True, shared_h
     shuffles. Only names that no earlier rule placed enter the similarity join.
     """
     hits = _probes(records, shared_hosts).join(catalog_keys(catalog), ["kind", "key"])
-    fuzzy_rule, slug_rule = RULES.index("fuzzy_name"), RULES.index("slug")
+    fuzzy_rule = RULES.index("fuzzy_name")
     exact = hits.groupBy("seq").agg(F.min_by(F.struct("rule", "match_slug"), F.struct("rule")).alias("m")).select("seq", "m.*")
     if fuzzy:
         named = records.select("seq", F.lower("name").alias("name"))
@@ -74,7 +74,6 @@ def resolve(records: DataFrame, catalog: DataFrame, fuzzy: bool = True, shared_h
         exact = exact.unionByName(found).groupBy("seq").agg(
             F.min_by(F.struct("rule", "match_slug"), F.struct("rule")).alias("m")
         ).select("seq", "m.*")
-    assert slug_rule > fuzzy_rule
     names = F.array(*[F.lit(r) for r in RULES])
     return records.join(exact, "seq", "left").withColumn("match_rule", F.get(names, F.col("rule"))).drop("rule")
 
