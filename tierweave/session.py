@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder of ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where none is configured (local runs and tests).
+    A folder of our own is used only in local mode with none configured (tests); executors of a
+    cluster could not share it, so there the setting is required.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-        )
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
 
@@ -31,15 +32,8 @@ def global_row_number(df: DataFrame, order: list, name: str = "rn") -> DataFrame
     placed = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    offsets = sizes.groupBy().agg(F.array_sort(F.collect_list(F.struct("_part", "_n"))).alias("parts")).select(
-        F.explode(F.transform("parts", lambda x: F.struct(
-            x["_part"].alias("_part"),
-            F.aggregate(
-                F.filter("parts", lambda y: y["_part"] < x["_part"]),
-                F.lit(0).cast("bigint"), lambda acc, y: acc + y["_n"],
-            ).alias("_before"),
-        ))).alias("x")
-    ).select("x.*")
+    # one row per partition, so one task is enough for the running sum
+    offsets = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     inside = F.col("_at").bitwiseAND((1 << 33) - 1)
     return (
         placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
