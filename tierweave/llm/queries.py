@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from tierweave.llm.bpe_codec import decoded, encoded
 from tierweave.llm.common import table, vocabulary
+from tierweave.llm.language_id import language_predictions
+from tierweave.llm.line_dedup import line_dedup_sql, without_widespread_lines
 from tierweave.llm.packing import pack
+from tierweave.llm.quality_model import quality_scores
+from tierweave.llm.quality_rules import quality_rules
 from tierweave.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +44,31 @@ def op4_bpe_codec(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "anomaly_score",
+    )
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    return language_predictions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_classifier(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    return without_widespread_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("cleaned_md5"),
+    )
+
+
+ORACLES["op10_line_dedup"] = line_dedup_sql()
