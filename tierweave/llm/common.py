@@ -108,3 +108,20 @@ def chunks(text: str) -> tuple[str, list[str]]:
     """
     parts = _TIGHT_BLANK.split(text) if _LOOSE_BLANK.search(text) else text.split(" ")
     return parts[0], parts[1:]
+
+
+#: Latin letters with a printable ASCII character behind them.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[!-@[-`{-~])")
+
+
+def chunk_parts(key: str) -> list[str] | None:
+    """A chunk cut where every pre-tokenizer used here cuts too, or None.
+
+    That is around a line break between visible characters and behind a first run of letters;
+    the parts come up far more often than the chunk.
+    """
+    head, newline, tail = key.partition("\n")
+    if newline and head and tail and not head[-1].isspace() and not tail[0].isspace():
+        return [head, newline, tail]
+    letters = _LETTERS.match(key)
+    return [key[:letters.end()], key[letters.end():]] if letters else None

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierweave.llm.common import Memo, chunks, clean, read_bytes, ship, worker_cache
+from tierweave.llm.common import Memo, chunk_parts, chunks, clean, read_bytes, ship, worker_cache
 from tierweave.session import cut_lineage, global_row_number
 
 ship(__name__)
@@ -50,16 +50,13 @@ def _library_encoder(data: bytes):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def split(key: str, memo: Memo, lead: str) -> bytes:
-        # a line break between visible characters and a stop behind a plain letter end a pre-token
-        head, newline, tail = key.partition("\n")
-        if newline and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return memo[head] + bare["\n"] + bare[tail]
-        if key[-1:] in (".", ",") and "a" <= key[-2:-1].lower() <= "z":
-            return memo[key[:-1]] + bare[key[-1]]
+        parts = chunk_parts(key)
+        if parts:
+            return memo[parts[0]] + b"".join(map(bare.__getitem__, parts[1:]))
         return direct(lead + key)
 
     bare = Memo(lambda key: split(key, bare, ""), limit=100_000)
-    spaced = Memo(lambda key: split(key, spaced, " "))
+    spaced = Memo(lambda key: split(key, spaced, " "), limit=600_000)
 
     def encode(text: str) -> bytes:
         if any(s in text for s in specials):
