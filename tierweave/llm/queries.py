@@ -15,6 +15,7 @@ from tierweave.llm.packing import pack
 from tierweave.llm.quality_model import quality_scores
 from tierweave.llm.quality_rules import quality_rules
 from tierweave.llm.token_counts import token_counts
+from tierweave.llm.topk import exact_top_k, top_k_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,15 @@ def op2_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op3_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors.filter(F.col("vec_id") % 50 == 0), vectors)
+
+
+ORACLES["op3_exact_top_k"] = top_k_sql()
+
+
 @query
 def op4_bpe_codec(spark, sf_dir):
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
