@@ -28,7 +28,7 @@ ship(__name__)
 #: Behind the last byte of a word in vocabularies with word ends; not a Latin-1 character.
 END = "Ā"
 #: Pairs remembered per worker before the memory is started afresh.
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 400_000
 
 
 @dataclass

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.llm.bpe import PairCoder, merges_of_ranks
-from tierweave.llm.common import Memo, chunks, clean, read_bytes, ship, worker_cache
+from tierweave.llm.common import Memo, chunk_parts, chunks, clean, read_bytes, ship, worker_cache
 from tierweave.llm.token_counts import BLANKS
 
 ship(__name__)
@@ -32,8 +32,9 @@ class Codec:
         self.packed = [i.to_bytes(4, "little") for i in self.merges.ids]
         self.bytes_of = {i: s.encode("latin-1") for i, s in zip(self.merges.ids, self.merges.spelled, strict=True)}
         self.bytes_of |= {i: s.encode("latin-1") for s, i in self.merges.unreached.items()}
-        self.of_word = Memo(self._word)
-        self.of_chunk = Memo(lambda chunk: self._chunk(" " + chunk))
+        self.of_word = Memo(self._word, limit=50_000)
+        self.bare = Memo(lambda key: self._chunk(key, ""), limit=50_000)
+        self.of_chunk = Memo(lambda key: self._chunk(key, " "), limit=300_000)
 
     def _word(self, word: str) -> bytes:
         spelled = word.encode().decode("latin-1")
@@ -42,12 +43,16 @@ class Codec:
         packed = self.packed
         return b"".join([packed[t] for t in self.coder.encode(spelled)])
 
-    def _chunk(self, text: str) -> bytes:
-        return b"".join(map(self.of_word.__getitem__, self.words.findall(text)))
+    def _chunk(self, key: str, lead: str) -> bytes:
+        parts = chunk_parts(key)
+        if parts:
+            first = self.of_chunk[parts[0]] if lead else self.bare[parts[0]]
+            return first + b"".join(map(self.bare.__getitem__, parts[1:]))
+        return b"".join(map(self.of_word.__getitem__, self.words.findall(lead + key)))
 
     def encode(self, text: str) -> bytes:
         first, rest = chunks(text)
-        return self._chunk(first) + b"".join(map(self.of_chunk.__getitem__, rest))
+        return self.bare[first] + b"".join(map(self.of_chunk.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
@@ -86,3 +91,19 @@ def decoded(rows: DataFrame, vocabulary: str, pattern: str = PATTERN, ids_col: s
             yield pd.Series([codec.decode(i or b"") for i in ids], dtype=object)
 
     return rows.withColumn("decoded", to_bytes(F.col(ids_col)))
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: str, pattern: str = PATTERN, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """doc_id, ids and decoded in one pass over the texts: as ``decoded(encoded(...))``."""
+    data = docs.sparkSession.sparkContext.broadcast(read_bytes(vocabulary))
+
+    @F.pandas_udf("struct<ids: binary, decoded: binary>")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(vocabulary, data, pattern)
+        for texts in batches:
+            ids = [codec.encode(t) for t in clean(texts)]
+            yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(i) for i in ids]}, dtype=object)
+
+    return docs.select(F.col(id_col).alias("doc_id"), both(F.col(text_col)).alias("_both")).select("doc_id", "_both.*")

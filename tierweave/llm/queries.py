@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierweave.llm.bpe_codec import decoded, encoded
+from tierweave.llm.bpe_codec import round_trip
 from tierweave.llm.common import table, vocabulary
 from tierweave.llm.language_id import language_predictions
 from tierweave.llm.line_dedup import line_dedup_sql, without_widespread_lines
@@ -48,7 +48,7 @@ ORACLES["op3_exact_top_k"] = top_k_sql()
 @query
 def op4_bpe_codec(spark, sf_dir):
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    return decoded(encoded(table(spark, sf_dir, "documents"), path), path).select(
+    return round_trip(table(spark, sf_dir, "documents"), path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
