@@ -26,6 +26,8 @@ BUCKETS = 4096
 #: Texts learnt from, per language.
 FIT_TEXTS = 500
 UNKNOWN = "und"
+#: Texts scored at a time.
+ROWS = 256
 #: Bytes hashed at a time, so that memory does not depend on the length of a text.
 SLICE = 1 << 18
 
@@ -191,12 +193,15 @@ def with_language(docs: DataFrame, model: Languages, text_col: str = "text") ->
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             texts = clean(texts)
-            x = np.stack([text_features(t) for t in texts]) if texts else np.zeros((0, BUCKETS), np.float32)
-            lang, score = known.value.predict(x)
-            for i, t in enumerate(texts):
-                if not _LETTER.search(t):
-                    lang[i], score[i] = UNKNOWN, 0.0
-            yield pd.DataFrame({"lang_pred": lang, "score": score})
+            parts = []
+            for begin in range(0, len(texts), ROWS):
+                some = texts[begin:begin + ROWS]
+                lang, score = known.value.predict(np.stack([text_features(t) for t in some]))
+                for i, t in enumerate(some):
+                    if not _LETTER.search(t):
+                        lang[i], score[i] = UNKNOWN, 0.0
+                parts.append(pd.DataFrame({"lang_pred": lang, "score": score}))
+            yield pd.concat(parts) if parts else pd.DataFrame({"lang_pred": [], "score": []})
 
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.select(*rest, predicted(F.col(text_col)).alias("_language")).select(*rest, "_language.*")
