@@ -11,6 +11,7 @@ from tierweave.llm.bpe_codec import round_trip
 from tierweave.llm.common import table, vocabulary
 from tierweave.llm.language_id import language_predictions
 from tierweave.llm.line_dedup import line_dedup_sql, without_widespread_lines
+from tierweave.llm.near_dups import near_duplicates
 from tierweave.llm.packing import pack
 from tierweave.llm.quality_model import quality_scores
 from tierweave.llm.quality_rules import quality_rules
@@ -56,6 +57,11 @@ def op4_bpe_codec(spark, sf_dir):
     )
 
 
+@query
+def op6_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
