@@ -17,6 +17,7 @@ from tierweave.llm.quality_model import quality_scores
 from tierweave.llm.quality_rules import quality_rules
 from tierweave.llm.token_counts import token_counts
 from tierweave.llm.topk import exact_top_k, top_k_sql
+from tierweave.llm.warc import archive_and_read, warc_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +58,14 @@ def op4_bpe_codec(spark, sf_dir):
     )
 
 
+@query
+def op5_warc(spark, sf_dir):
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_warc"] = warc_sql()
+
+
 @query
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
