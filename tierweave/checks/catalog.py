@@ -206,9 +206,9 @@ def _(t):
     return index.with_pages(flat_index(t).select("slug", "total_raised_usd"), index.grid_order("funding")).select("slug", F.col("page").cast("bigint").alias("page"))
 
 
-@query("w5_page_strip", "SELECT p_partkey, array_to_string(range(greatest(1, p_size - 2), least(40, p_size + 2) + 1), ',') AS strip FROM part WHERE p_size <= 40")
+@query("w5_page_strip", "SELECT p_partkey, array_to_string(range(greatest(1, p_size - 2), least(50, p_size + 2) + 1), ',') AS strip FROM part")
 def _(t):
-    return t.part.filter("p_size <= 40").select("p_partkey", F.array_join(index.page_strip(F.col("p_size"), F.lit(40)).cast("array<string>"), ",").alias("strip"))
+    return t.part.select("p_partkey", F.array_join(index.page_strip(F.col("p_size"), F.lit(50)).cast("array<string>"), ",").alias("strip"))
 
 
 def _cmp(field: str, arms: list[str]) -> str:
@@ -259,9 +259,9 @@ _has = {
 SCORE_SQL = "round((" + " + ".join(f"CASE WHEN {t} THEN {scoring.QUALITY_WEIGHTS[p]} ELSE 0 END" for p, t in _has.items()) + ")::DOUBLE / 34.5::DOUBLE, 2)"
 
 
-@query("p10_field_has_value", WITH + "SELECT slug, " + ", ".join(f"coalesce({t}, false) AS {p.replace('.', '_')}" for p, t in list(_has.items())[:12]) + " FROM c")
+@query("p10_field_has_value", WITH + "SELECT slug, " + ", ".join(f"coalesce({t}, false) AS {p.replace('.', '_')}" for p, t in _has.items()) + " FROM c")
 def _(t):
-    return t.catalog.select("slug", *[tags.field_has_value(p).alias(p.replace(".", "_")) for p in list(_has)[:12]])
+    return t.catalog.select("slug", *[tags.field_has_value(p).alias(p.replace(".", "_")) for p in _has])
 
 
 @query("x8_quality_score", WITH + f"SELECT slug, {SCORE_SQL} AS score FROM c")
@@ -271,7 +271,7 @@ def _(t):
 
 @query("p4_low_quality", WITH + f"SELECT slug, {SCORE_SQL} AS new_score FROM c WHERE {SCORE_SQL} <= 0.6 ORDER BY {FILE} LIMIT 10")
 def _(t):
-    return tags.low_quality(t.catalog).select("slug", "new_score")
+    return tags.low_quality(t.catalog, limit=10).select("slug", "new_score")
 
 
 @query("c11_rescore", WITH + f"SELECT slug, data_quality_score AS old_score, {SCORE_SQL} AS stored FROM c")

@@ -116,7 +116,7 @@ def _(t):
         when(0, " https://a.example"), when(1, "https://cb.example"), when(2, "https://li.example "), when(3, "https://gh.example"), "c_name").alias("url"))
 
 
-CLEAN_IN = "CASE doc_id % 4 WHEN 0 THEN concat('3 days ago, ', substr(text, 1, 200), ' Apply Now;') WHEN 1 THEN 'Actively Hiring - Click' WHEN 2 THEN text END"
+CLEAN_IN = "CASE doc_id % 4 WHEN 0 THEN concat('3 days ago, ', text, ' Apply Now;') WHEN 1 THEN concat('Actively Hiring - ', text) ELSE text END"
 
 
 @query("f16_clean_text", f"SELECT doc_id, nullif(trim(trim(regexp_replace({CLEAN_IN}, '(?i)({migration.JOB_BOARD_PATTERN})', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)), ',;:- ' || chr(10) || chr(9)), '') AS cleaned FROM documents")
@@ -240,7 +240,7 @@ def _(t):
     return t.part.select("p_partkey", F.array_join(G.parse_modalities(text), ",").alias("modalities"))
 
 
-_tasks = list(sources.TASK_SUB_CATEGORY)[:12]
+_tasks = list(sources.TASK_SUB_CATEGORY)
 TASK_IN = "CASE p_partkey % {} {} END".format(len(_tasks) + 2, " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_tasks)))
 _mods = {task: ",".join(mods) for mods, tasks in sources.TASK_MODALITIES for task in tasks}
 

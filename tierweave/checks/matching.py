@@ -47,9 +47,9 @@ def _(t):
     return resolve.match_by(t.incoming, t.catalog, "cross_lingual")
 
 
-@query("j7_match_slug", R + "SELECT seq, slug AS match_slug FROM r JOIN c ON replace(lower(r.name), ' ', '-') = slug WHERE seq % 6 = 2")
+@query("j7_match_slug", R + "SELECT seq, slug AS match_slug FROM r JOIN c ON replace(regexp_replace(lower(r.name), '[#.,]', '', 'g'), ' ', '-') = slug")
 def _(t):
-    return resolve.match_by(t.incoming, t.catalog, "slug").join(t.incoming.filter("seq % 6 = 2").select("seq"), "seq").select("seq", "match_slug")
+    return resolve.match_by(t.incoming, t.catalog, "slug").select("seq", "match_slug")
 
 
 @query("j8_resolve_exact", R + f"""SELECT seq, coalesce(m1, m2, m3, m4, m5, m7) AS match_slug, CASE WHEN m1 IS NOT NULL THEN 'product_domain' WHEN m2 IS NOT NULL THEN 'company_domain' WHEN m3 IS NOT NULL THEN 'name'
@@ -73,26 +73,27 @@ def _edited_parts(t):
     n = F.lower("p_name")
     return t.part.select("p_name", "p_partkey").groupBy("p_name").agg(F.min("p_partkey").alias("k")).select(
         F.when(F.col("k") % 3 == 0, F.concat(n, F.lit("s"))).when(F.col("k") % 3 == 1, F.concat(F.substr(n, F.lit(1), F.lit(3)), F.substr(n, F.lit(5))))
-        .otherwise(F.concat(n, F.lit(" kit set"))).alias("name"))
+        .otherwise(F.concat(n, F.lit(" kit set"))).alias("name"), "k")
 
 
 LCS = """list_last(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: [i]), lambda acc, i: list_reduce(
  list_transform(range(1, length({b}) + 1), lambda j: [j]), lambda row, j: list_append(row, CASE WHEN substr({a}, i[1], 1) = substr({b}, j[1], 1) THEN acc[j[1]] + 1 ELSE greatest(acc[j[1] + 1], list_last(row)) END), [0]::BIGINT[]), list_transform(range(0, length({b}) + 1), lambda z: 0::BIGINT)))"""
-EDITED = "(SELECT CASE WHEN k % 3 = 0 THEN lower(p_name) || 's' WHEN k % 3 = 1 THEN substr(lower(p_name), 1, 3) || substr(lower(p_name), 5) ELSE lower(p_name) || ' kit set' END AS name FROM (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY p_name))"
+EDITED = "(SELECT CASE WHEN k % 3 = 0 THEN lower(p_name) || 's' WHEN k % 3 = 1 THEN substr(lower(p_name), 1, 3) || substr(lower(p_name), 5) ELSE lower(p_name) || ' kit set' END AS name, k FROM (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY p_name))"
 PART_NAMES = "(SELECT lower(p_name) AS part, max('part-' || p_partkey) AS slug FROM part GROUP BY 1)"
 
 
-@query("x10_similarity", f"SELECT e.name, n.part, 2.0::DOUBLE * {LCS.format(a='e.name', b='n.part')} / (length(e.name) + length(n.part)) AS ratio FROM {EDITED} e JOIN {PART_NAMES} n ON substr(e.name, 1, 2) = substr(n.part, 1, 2)")
+@query("x10_similarity", f"SELECT e.name, n.p_partkey, 2.0::DOUBLE * {LCS.format(a='e.name', b='lower(n.p_name)')} / (length(e.name) + length(n.p_name)) AS ratio FROM {EDITED} e JOIN (SELECT *, unnest([0, 1, 7]) AS d FROM part) n ON n.p_partkey = e.k + n.d")
 def _(t):
-    n = t.part.select(F.lower("p_name").alias("part")).distinct()
-    both = _edited_parts(t).join(n, F.substring("name", 1, 2) == F.substring("part", 1, 2))
-    return both.withColumn("ratio", similarity.similarity_ratio("name", "part"))
+    # every edited name against its own part and two others
+    n = t.part.select("p_partkey", F.lower("p_name").alias("part"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(7))).alias("d"))
+    both = _edited_parts(t).join(n, F.col("p_partkey") == F.col("k") + F.col("d"))
+    return both.select("name", "p_partkey", similarity.similarity_ratio("name", "part").alias("ratio"))
 
 
 @query("j6_fuzzy_name", f"""SELECT name, slug, ratio FROM (SELECT e.name, n.slug, {LCS.format(a='e.name', b='n.part')} AS l, 2.0::DOUBLE * l / (length(e.name) + length(n.part)) AS ratio,
   greatest(length(e.name), length(n.part)) - l AS cut FROM {EDITED} e, {PART_NAMES} n) WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY name ORDER BY cut, ratio DESC, slug) = 1""")
 def _(t):
-    return similarity.fuzzy_name_match(_edited_parts(t), t.part.select(F.lower("p_name").alias("name"), F.concat(F.lit("part-"), "p_partkey").alias("slug")))
+    return similarity.fuzzy_name_match(_edited_parts(t).select("name"), t.part.select(F.lower("p_name").alias("name"), F.concat(F.lit("part-"), "p_partkey").alias("slug")))
 
 
 def _texts(t):
@@ -112,7 +113,7 @@ def _(t):
 
 @query("j15_near_duplicate_zh")
 def _(t):
-    zh = t.catalog.select("slug", F.concat(F.lit("面向企业的智能搜索平台，支持多模态检索与自动化流程"), F.coalesce("description_zh", F.lit(""))).alias("text")).filter("slug like '%5'")
+    zh = t.catalog.select("slug", F.concat(F.lit("面向企业的智能搜索平台，支持多模态检索与自动化流程"), F.coalesce("description_zh", F.lit(""))).alias("text"))
     return similarity.near_duplicate_texts(zh, zh).select("slug", "other_slug", "ratio")
 
 

@@ -50,14 +50,14 @@ def _(t):
     return mapped("producthunt", landed(t.part, "p_partkey", "producthunt", body)).select("name", "description", F.array_join(F.col("key_people.name"), ",").alias("maker"))
 
 
-@query("m4_github", "SELECT 'org-' || (p_partkey % 40) AS name, arg_min(CASE WHEN p_partkey % 40 < 20 THEN 'About ' || (p_partkey % 40) ELSE p_name END, p_partkey) AS description FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1")
+@query("m4_github", "SELECT 'org-' || (p_partkey % 40) AS name, 'About ' || any_value(p_partkey % 40) AS description FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1")
 def _(t):
     body = F.to_json(F.struct(F.array(F.struct(
         F.col("p_name").alias("description"), F.struct(F.concat(F.lit("org-"), F.col("p_partkey") % 40).alias("login"), F.when(F.col("p_partkey") % 3 == 0, "User").otherwise("Organization").alias("type")).alias("owner"),
     )).alias("items")))
     org = F.to_json(F.struct(F.concat(F.lit("About "), "p_partkey").alias("description"), F.lit("").alias("name")))
     found = landed(t.part, "p_partkey", "github", body, fmt="search")
-    orgs = landed(t.part.filter("p_partkey < 20"), "p_partkey", "github", org, F.concat(F.lit("https://api.github.com/orgs/org-"), "p_partkey"), "org")
+    orgs = landed(t.part, "p_partkey", "github", org, F.concat(F.lit("https://api.github.com/orgs/org-"), "p_partkey"), "org")
     return mapped("github", found.unionByName(orgs)).select("name", "description")
 
 
@@ -225,13 +225,13 @@ def _(t):
     return discovered_to_records(discovered(p), "toolify", 2).select("name", "source", "source_tier", "product_url")
 
 
-@query("m24_registry", "SELECT 'app_store' AS source, count(*) AS n FROM part UNION ALL SELECT 'lmsys', count(*) FROM part")
+@query("m24_registry", "SELECT 'lmsys' AS source, 'm' || p_partkey AS name, row_number() OVER (ORDER BY p_partkey) AS seq FROM part UNION ALL SELECT 'app_store', p_name, (SELECT count(*) FROM part) + row_number() OVER (ORDER BY p_partkey) FROM part")
 def _(t):
     app = F.struct(F.col("p_partkey").alias("trackId"), F.col("p_name").alias("trackName"))
     row = F.struct(F.struct(F.concat(F.lit("m"), "p_partkey").alias("key")).alias("row"))
     pages = landed(t.part, "p_partkey", "app_store", F.to_json(F.struct(F.array(app).alias("results")))).unionByName(
         landed(t.part, "p_partkey", "lmsys", F.to_json(F.struct(F.array(row).alias("rows")))))
-    return map_sources(pages, "app_store,lmsys").groupBy("source").agg(F.count("*").alias("n"))
+    return map_sources(pages, "lmsys,app_store").select("source", "name", "seq")
 
 
 @query("c7_ingest")
@@ -239,7 +239,7 @@ def _(t):
     return ingest(t.catalog, t.incoming, as_of(), similar=False).catalog.select("slug", "name", "product_url", F.size("sources").alias("sources"))
 
 
-@query("c8_enrich_requests", "WITH " + bound(CATALOG, "c") + " SELECT count(*) AS n FROM (SELECT slug FROM c LIMIT 10)")
+@query("c8_enrich_requests", "WITH " + bound(CATALOG, "c") + " SELECT count(*) AS n FROM c")
 def _(t):
     return requests(t.catalog, 1.0).agg(F.count("*").alias("n"))
 

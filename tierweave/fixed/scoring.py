@@ -97,6 +97,7 @@ HIRING_PATHS = (
 
 # Paths whose values must not belong to another product.
 VALIDATED_PATHS = ("name", "name_zh", "description", "description_zh", "product_url")
+CHECKED_AT_CREATE = ("name_zh", "description_zh", "product_url")
 
 # Paths kept whole in provenance.
 PROVENANCE_LEAVES = ("pricing", "company.funding", "company.headquarters", "company.social")

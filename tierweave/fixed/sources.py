@@ -157,7 +157,6 @@ JOB_CARD = (
     r"(?m)\*\*([^*]{3,60})\*\*\s*\n\s*([^\n·|•\-]{2,40})(?:\s*[·|•\-]\s*([^\n]{2,30}))?"
 )
 SALARY = r"\d+[kK万]|\d+-\d+|\d+薪|面议"
-MAX_JOB_PAGE_CHARS = 500_000
 
 # Benchmark page slug -> benchmark name, in page order.
 BENCHMARK_PAGES = {

@@ -46,6 +46,16 @@ def slugify(text: Column | str) -> Column:
     return F.when(~folded.rlike(r"(?![\x00-\x7F])\p{L}"), slug)
 
 
+def product_slug(name: Column | str) -> Column:
+    """Slug of a new product: of its name, or ``n-`` and a digest where the name cannot be spelt.
+
+    NULL for names without a letter or digit.
+    """
+    own = slugify(name)
+    digest = F.concat(F.lit("n-"), F.left(F.sha2(strip(col(name)).cast("binary"), 256), F.lit(16)))
+    return F.when(valid_slug(own), own).otherwise(F.when(col(name).rlike(r"[\p{L}\p{N}]"), digest))
+
+
 def valid_slug(slug: Column | str) -> Column:
     return F.coalesce(col(slug).rlike(SLUG_PATTERN), F.lit(False))
 

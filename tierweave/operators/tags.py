@@ -187,7 +187,7 @@ def rescore_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def low_quality(catalog: DataFrame, max_score: float = 0.6, limit: int = 10) -> DataFrame:
-    """(slug, new_score) of the first ``limit`` products, by file name, that score at most ``max_score``."""
+def low_quality(catalog: DataFrame, max_score: float = 0.6, limit: int | None = None) -> DataFrame:
+    """(slug, new_score) of products that score at most ``max_score``; the first ``limit`` by file name if given."""
     scored = catalog.select("slug", quality_score().alias("new_score")).filter(F.col("new_score") <= max_score)
-    return scored.orderBy(F.concat("slug", F.lit(".json"))).limit(limit)
+    return scored if limit is None else scored.orderBy(F.concat("slug", F.lit(".json"))).limit(limit)

@@ -11,8 +11,8 @@ from tierweave.operators.tags import low_quality
 from tierweave.session import cut_lineage
 
 
-def requests(catalog: DataFrame, max_score: float = 0.6, limit: int = 10) -> DataFrame:
-    """(slug, gaps, prompt) of the first weak products with gaps."""
+def requests(catalog: DataFrame, max_score: float = 0.6, limit: int | None = None) -> DataFrame:
+    """(slug, gaps, prompt) of the weak products with gaps; of the first ``limit`` by file name if given."""
     picked = cut_lineage(low_quality(catalog, max_score, limit).select("slug"))
     weak = catalog.join(picked, "slug", "left_semi").withColumn("gaps", find_gaps())
     return weak.filter(F.size("gaps") > 0).select("slug", "gaps", compose_prompt(F.col("gaps")).alias("prompt"))

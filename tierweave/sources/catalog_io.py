@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tierweave import schemas
 from tierweave.fixed import taxonomy, terms
+from tierweave.session import global_row_number
 
 CORRUPT = "_corrupt_record"
 
@@ -125,7 +126,9 @@ def read_landed(spark: SparkSession, path: str, source: str, fmt: str = "html")
     if fmt == "parquet":
         return schemas.conform(spark.read.parquet(path).filter(F.col("source") == source), schemas.LANDED)
     raw = spark.read.text(path, wholetext=True).select(
-        F.xxhash64("_metadata.file_path").alias("seq"), F.col("_metadata.file_path").alias("url"), F.lit(source).alias("source"),
+        F.col("_metadata.file_path").alias("url"), F.lit(source).alias("source"),
         F.lit(fmt).alias("format"), F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("fetched_at"),
     )
-    return schemas.conform(raw, schemas.LANDED)
+    # arrival order is that of the files; only their names and times are sorted
+    files = global_row_number(raw.select("url", "fetched_at"), ["fetched_at", "url"], "seq").select("url", "seq")
+    return schemas.conform(raw.join(files, "url"), schemas.LANDED)

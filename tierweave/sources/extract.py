@@ -9,7 +9,8 @@ from tierweave.fixed import sources as S
 from tierweave.functions.base import strip
 from tierweave.functions.text import is_table_header, looks_like_salary
 
-POSITIONS = 1_000_000
+#: Places of one page; pages are numbered below 2**31.
+POSITIONS = 1 << 32
 
 
 def matches(body: Column, pattern: str, groups: int) -> Column:
@@ -26,10 +27,9 @@ def with_fallback(first: Column, second: Column, fewer_than: int, replace: bool
     return F.when(F.size(first) < fewer_than, other).otherwise(first)
 
 
-def explode_entries(landed: DataFrame, entries: Column, min_chars: int = 0) -> DataFrame:
+def explode_entries(landed: DataFrame, entries: Column) -> DataFrame:
     """One row per entry, with its place in arrival order."""
-    pages = landed.filter(F.length("body") >= min_chars)
-    return pages.select("seq", "url", F.posexplode(entries).alias("pos", "e")).select(
+    return landed.select("seq", "url", F.posexplode(entries).alias("pos", "e")).select(
         (F.col("seq") * POSITIONS + F.col("pos")).alias("seq"), F.col("url").alias("page_url"), "e.*"
     )
 
@@ -66,13 +66,9 @@ def _job(title: Column, company: Column, extra1: Column, extra2: Column) -> Colu
     ))
 
 
-def _bounded(body: Column) -> Column:
-    return F.substring(body, 1, S.MAX_JOB_PAGE_CHARS)
-
-
 def job_listings(landed: DataFrame) -> DataFrame:
     """Adverts of job pages: headings, then tables, then cards while fewer than three."""
-    body = _bounded(F.col("body"))
+    body = F.col("body")
     none = F.lit("")
     headings = F.array_compact(F.transform(matches(body, S.JOB_HEADING, 4), lambda m: _job(m["g1"], m["g2"], m["g3"], m["g4"])))
     tables = F.transform(
@@ -81,7 +77,7 @@ def job_listings(landed: DataFrame) -> DataFrame:
     )
     cards = F.array_compact(F.transform(matches(body, S.JOB_CARD, 3), lambda m: _job(m["g1"], m["g2"], m["g3"], none)))
     # each step reads the column before it, so no pattern runs twice
-    found = landed.filter(F.length("body") >= 100).select("seq", "url", "body", headings.alias("jobs"))
+    found = landed.select("seq", "url", "body", headings.alias("jobs"))
     found = found.withColumn("jobs", with_fallback(F.col("jobs"), tables, 3))
     found = found.withColumn("jobs", with_fallback(F.col("jobs"), cards, 3))
     return found.select("seq", "url", F.posexplode("jobs").alias("pos", "j")).select(

@@ -89,9 +89,9 @@ def crunchbase_records(landed: DataFrame, targets: DataFrame | None = None) -> D
         pages = landed.withColumn("name", F.initcap(F.replace(page_slug(), F.lit("-"), F.lit(" "))))
     hq = group(body, S.CB_HQ)
     worth = M.parse_money(body, S.CB_VALUATION)
-    investors = F.slice(F.filter(F.transform(F.split(group(body, S.CB_INVESTORS), ","), lambda i: strip(i)), lambda i: i != ""), 1, 10)
+    investors = F.filter(F.transform(F.split(group(body, S.CB_INVESTORS), ","), lambda i: strip(i)), lambda i: i != "")
     year = group(body, S.CB_FOUNDED).cast("int")
-    rows = pages.filter(F.length("body") >= 50).select(
+    rows = pages.select(
         "seq", "name", F.col("url").alias("source_url"), F.col("name").alias("company_name"),
         M.parse_money(body, S.CB_FUNDING).alias("company_total_raised_usd"),
         F.replace(F.lower(strip(group(body, S.CB_ROUND))), F.lit(" "), F.lit("-")).alias("company_last_round"),
@@ -267,7 +267,7 @@ def _category_parts(slug: Column, table: dict) -> tuple[Column, Column, Column]:
 
 
 def _directory(landed: DataFrame, entries: Column, table: dict, nav: tuple, visits: bool) -> DataFrame:
-    rows = explode_entries(landed, entries, 100)
+    rows = explode_entries(landed, entries)
     slug = page_slug("page_url")
     kind, category, sub = _category_parts(slug, table)
     kept = rows.filter(X.is_listing_name(F.col("g1"), nav))
@@ -336,7 +336,7 @@ def aibot(landed: DataFrame) -> DataFrame:
     none = F.lit("")
     links = F.transform(matches(body, S.AIBOT_LINK, 2), lambda m: F.struct(
         m["g1"].alias("link"), none.alias("description"), m["g2"].alias("name"), none.alias("icon")))
-    rows = _first_per_link(explode_entries(landed, with_fallback(cards, links, 1, replace=True), 200))
+    rows = _first_per_link(explode_entries(landed, with_fallback(cards, links, 1, replace=True)))
     base = "https://ai-bot.cn"
     return _chinese_directory(rows, base, S.AIBOT_CATEGORIES, U.resolve_url(base, "link"))
 
@@ -352,7 +352,7 @@ def ainav(landed: DataFrame) -> DataFrame:
 
     cards = F.zip_with(matches(body, S.AINAV_CARD, 4), whole, lambda m, w: F.struct(
         m["g1"].alias("link"), m["g2"].alias("site"), m["g3"].alias("description"), m["g4"].alias("name"), icon(w).alias("icon")))
-    rows = _first_per_link(explode_entries(landed, cards, 200))
+    rows = _first_per_link(explode_entries(landed, cards))
     base = "https://www.ainav.cn"
     detail = F.when(F.col("link").startswith("http"), F.col("link")).otherwise(F.concat(F.lit(base), "link"))
     return _chinese_directory(rows, base, S.AINAV_CATEGORIES, F.coalesce(blank_to_null("site"), detail))
@@ -366,7 +366,7 @@ def techcrunch(landed: DataFrame) -> DataFrame:
         F.filter(matches(F.col("body"), S.TC_HEADING, 2), lambda m: F.length(m["g1"]) >= 10),
         lambda m: F.struct(m["g1"].alias("g1"), F.coalesce(blank_to_null(m["g2"]), page).alias("g2")),
     )
-    rows = explode_entries(landed, with_fallback(links, headings, 3), 200)
+    rows = explode_entries(landed, with_fallback(links, headings, 3))
     company = strip(group("g1", S.TC_COMPANY))
     return _unique(rows.filter(F.length(company) >= 2).select(
         "seq", company.alias("name"), F.col("g2").alias("source_url"), F.col("g1").alias("description"), company.alias("company_name"),
@@ -390,7 +390,7 @@ def artificial_analysis(landed: DataFrame) -> DataFrame:
         F.filter(matches(body, S.AA_SIMPLE, 2), lambda m: F.length(m["g1"]) >= 2),
         lambda m: F.struct(m["g1"].alias("name"), G.guess_org(m["g1"], S.MODEL_PREFIX_ORGS, "prefix").alias("company"), none.alias("quality"), m["g2"].alias("speed"), none.alias("price")),
     )
-    rows = explode_entries(landed, with_fallback(full, spare, 3), 100)
+    rows = explode_entries(landed, with_fallback(full, spare, 3))
     return _unique(rows.select(
         "seq", "name", F.col("page_url").alias("source_url"), F.lit("llm").alias("product_type"), F.lit("ai-model").alias("category"),
         F.col("company").alias("company_name"), F.lit("active").alias("status"),
@@ -405,7 +405,7 @@ def papers_with_code(landed: DataFrame) -> DataFrame:
     listed = F.filter(matches(F.col("body"), S.PWC_ENTRY, 3), lambda m: F.length(m["g1"]) >= 2)
     slug = page_slug("page_url")
     pages = list(S.BENCHMARK_PAGES)
-    rows = explode_entries(landed, with_fallback(table, listed, 3), 100).select(
+    rows = explode_entries(landed, with_fallback(table, listed, 3)).select(
         F.coalesce(F.array_position(strings(pages), slug), F.lit(0)).alias("page"), F.col("seq").alias("pos"), F.col("g1").alias("model"),
         lookup(slug, S.BENCHMARK_PAGES, slug).alias("benchmark"), F.col("g3").alias("score"), F.col("g2").alias("paper_url"), F.lower("g1").alias("key"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierweave import schemas
+from tierweave.session import global_row_number
 
 Mapper = Callable[[DataFrame], DataFrame]
 
@@ -63,9 +64,20 @@ def union_records(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def in_arrival_order(records: DataFrame) -> DataFrame:
+    """Records renumbered by source, place within the source and, where that is shared, name and link.
+
+    ``seq`` becomes unique over all sources, as matching, checks and merging expect of it.
+    """
+    ordered = records.withColumnRenamed("seq", "_place")
+    numbered = global_row_number(ordered, ["_source", "_place", "name", "source_url"], "seq")
+    return schemas.conform(numbered, schemas.RECORD)
+
+
 def map_sources(landed: DataFrame, names: str | None = None, limit: int | None = None) -> DataFrame:
-    """Records of the picked sources, at most ``limit`` per source."""
+    """Records of the picked sources in one arrival order, at most ``limit`` per source."""
     from tierweave.operators.quota import limit_per_source
 
-    out = union_records([s.map(landed) for s in pick(names)])
+    frames = [s.map(landed).withColumn("_source", F.lit(i)) for i, s in enumerate(pick(names))]
+    out = in_arrival_order(union_records(frames))
     return limit_per_source(out, limit) if limit else out
