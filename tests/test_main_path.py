@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierweave import schemas
 from tierweave.bindings import Tables
 from tierweave.plans.ingest import ingest
-from tierweave.sources.catalog_io import read_landed
+from tierweave.sources.catalog_io import read_current, read_landed, write_catalog, write_stats
 from tierweave.sources.registry import map_sources
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +77,21 @@ def test_long_job_pages_are_read_to_the_end(spark):
     body = "| Title | Company | Location |\n|---|---|---|\n" + "filler text without any advert\n" * 20_000 + "| Title | Company | Location |\n|---|---|---|\n" + advert
     got = job_listings(landed(spark, [(1, "u", "jobs", "html", body)])).collect()
     assert len(body) > 600_000 and [r.company_name for r in got][-1] == "Acme Corp"
+
+
+def test_publishing_adds_a_pointer(spark, tmp_path):
+    known = catalog(spark)
+    for i, version in enumerate(("v1", "v2", "v2")):
+        write_catalog(known.limit(i + 1), str(tmp_path), version)
+        assert read_current(spark, str(tmp_path)).count() == i + 1
+    assert len(list((tmp_path / "_current").glob("part-*"))) == 3
+
+
+def test_stats_are_one_document(spark, tmp_path):
+    frames = {
+        "total": spark.sql("SELECT 7L AS n"), "by_kind": spark.sql("SELECT 'a' AS kind, 2L AS n UNION ALL SELECT 'b', 1L"),
+        "none": spark.sql("SELECT 1 AS x WHERE false"),
+    }
+    write_stats(frames, str(tmp_path / "s"))
+    text = "".join(p.read_text() for p in (tmp_path / "s").glob("part-*"))
+    assert json.loads(text) == {"total": 7, "by_kind": [{"kind": "a", "n": 2}, {"kind": "b", "n": 1}], "none": []}

@@ -112,11 +112,9 @@ def localized(base: Column | str, chinese: Column | str, locale: str) -> Column:
 def meaningful_words(text: Column | str) -> Column:
     """First 20 English terms that are preserved or long and not stop words."""
     words = F.regexp_extract_all(col(text), F.lit(f"({terms.WORD_PATTERN})"), F.lit(1))
-    preserved, stops = strings(terms.PRESERVED_TERMS), strings(terms.STOP_WORDS)
-    kept = F.filter(
+    kept = F.filter(  # hashed look-ups of literals
         words,
-        lambda w: F.array_contains(preserved, F.lower(w))
-        | ((F.length(w) >= 4) & ~F.array_contains(stops, F.lower(w))),
+        lambda w: F.lower(w).isin(*terms.PRESERVED_TERMS) | ((F.length(w) >= 4) & ~F.lower(w).isin(*terms.STOP_WORDS)),
     )
     return F.slice(kept, 1, terms.MAX_WORDS)
 

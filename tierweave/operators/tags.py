@@ -111,8 +111,8 @@ def infer_tags(catalog: DataFrame, valid=taxonomy.TAG_IDS) -> DataFrame:
     return with_text.withColumn("tags", inferred_tags(valid, F.col("_text"))).drop("_text")
 
 
-def extracted_keywords() -> Column:
-    """Search keywords: case-insensitive first occurrence, at least two characters."""
+def gathered_terms() -> Column:
+    """All terms of a product of at least two characters, in order."""
     def spaced(c: Column) -> Column:
         return F.replace(c, F.lit("-"), F.lit(" "))
 
@@ -128,24 +128,18 @@ def extracted_keywords() -> Column:
         _or_none(F.col("modalities")),
         compact(spaced(F.col("product_type"))),
     )
-    clean = F.filter(F.transform(terms, lambda t: F.btrim(t, F.lit(WHITESPACE))), lambda t: F.length(t) >= 2)
-    return first_wins(clean)
+    return F.filter(F.transform(terms, lambda t: F.btrim(t, F.lit(WHITESPACE))), lambda t: F.length(t) >= 2)
 
 
 def first_wins(terms: Column) -> Column:
     """Case-insensitive distinct, first spelling and order kept."""
-    def step(acc: Column, t: Column) -> Column:
-        low = F.lower(t)
-        return F.when(F.array_contains(acc["seen"], low), acc).otherwise(F.struct(
-            F.array_append(acc["seen"], low).alias("seen"), F.array_append(acc["kept"], t).alias("kept"),
-        ))
-
-    empty = F.struct(_none().alias("seen"), _none().alias("kept"))
-    return F.aggregate(terms, empty, step, lambda acc: acc["kept"])
+    low = F.transform(terms, lambda t: F.lower(t))
+    return F.transform(F.array_distinct(low), lambda t: F.element_at(terms, F.array_position(low, t).cast("int")))
 
 
 def extract_keywords(catalog: DataFrame) -> DataFrame:
-    return catalog.withColumn("keywords", extracted_keywords())
+    """Catalog with ``keywords``. The terms are gathered once per row."""
+    return catalog.withColumn("_terms", gathered_terms()).withColumn("keywords", first_wins(F.col("_terms"))).drop("_terms")
 
 
 def field_has_value(path: str, schema: T.StructType = schemas.PRODUCT) -> Column:

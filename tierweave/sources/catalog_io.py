@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,18 +48,32 @@ def corrupt_bodies(df: DataFrame, schema: str, body: str = "body") -> DataFrame:
     return df.filter(parsed[CORRUPT].isNotNull())
 
 
+def _pointers(spark: SparkSession, path: str) -> DataFrame:
+    """(number, version) of every published version."""
+    try:
+        return spark.read.schema("number long, version string").json(f"{path}/_current")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "number long, version string")
+
+
 def write_catalog(catalog: DataFrame, path: str, version: str) -> str:
-    """Write a new version folder; readers switch when the pointer file is replaced."""
+    """Write a new version folder, then add a pointer to it; the highest pointer counts.
+
+    Nothing is replaced: a reader sees the old version until the new pointer file is complete.
+    """
     target = f"{path}/version={version}"
     catalog.write.mode("overwrite").parquet(target)
     spark = catalog.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_current")
+    last = _pointers(spark, path).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+    spark.createDataFrame([(last + 1, version)], "number long, version string").coalesce(1).write.mode("append").json(f"{path}/_current")
     return target
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The catalog version the pointer names."""
-    version = spark.read.schema("version string").json(f"{path}/_current").first().version
+    """The catalog version of the highest pointer."""
+    version = _pointers(spark, path).agg(F.max_by("version", "number")).first()[0]
     return spark.read.schema(schemas.PRODUCT).parquet(f"{path}/version={version}")
 
 
@@ -68,9 +84,20 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def write_stats(frames: Mapping[str, DataFrame], path: str) -> None:
-    """One folder per metric."""
+    """One JSON object: a value for each one-column frame of one row named in it, else a list of rows.
+
+    Metrics have one row per label, so each is small.
+    """
+    parts = []
     for name, df in frames.items():
-        df.write.mode("overwrite").json(f"{path}/{name}")
+        rows = F.collect_list(F.struct(*df.columns))
+        scalar = F.get_json_object(F.to_json(rows), f"$[0].{df.columns[0]}") if len(df.columns) == 1 else F.lit(None)
+        value = F.when((F.count("*") == 1) & scalar.isNotNull(), scalar).otherwise(F.to_json(rows))
+        parts.append(df.agg(F.concat(F.lit(f"{json.dumps(name)}: "), value).alias("part")))
+    every = reduce(DataFrame.unionByName, parts)
+    every.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("part")), ", "), F.lit("}"))).coalesce(1).write.mode(
+        "overwrite",
+    ).text(path)
 
 
 def write_routed(df: DataFrame, path: str) -> None:
