@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 from collections import defaultdict
 
 import corpus_pipeline
@@ -75,7 +76,7 @@ def test_archives_round_trip(spark, tmp_path):
         (5, "u", big), (9, "u", "tail\r\n\r\n"), (None, "u", "no id"), (4, "v", "same"),
     ]
     pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("offset", F.lit("clash"))
-    folder, index = write_archives(pages, folder=str(tmp_path / "w"), archive_bytes=20_000)
+    folder, index = write_archives(pages, folder=str(tmp_path / "w"), archive_bytes=300)
     got = read_records(folder, index, with_payload=True).collect()
     kept = [(i, u, h or "") for i, u, h in data if i is not None]
     first = {h: min(i for i, _, x in kept if x == h) for _, _, h in kept}
@@ -85,13 +86,16 @@ def test_archives_round_trip(spark, tmp_path):
     assert all(bytes(r.payload).decode() == next(h for i, _, h in kept if i == r.page_id) for r in got if r.record_type == "response")
     only = read_records(folder, index.filter("page_id in (5, 9)")).collect()
     assert sorted(r.page_id for r in only) == [5, 5, 9]
-    # the archives are plain sequences of records
-    for part in (tmp_path / "w").glob("archive=*/part-*"):
+    # the archives are plain sequences of gzip members, one a record
+    members = 0
+    for part in (tmp_path / "w").glob("*.warc.gz"):
         raw, at = part.read_bytes(), 0
-        for r in index.filter(F.col("archive") == int(part.parent.name.split("=")[1])).orderBy("offset").collect():
-            assert r.offset == at and parse_record(raw[at:at + r.length])["page_id"] == r.page_id
+        for r in index.filter(F.col("archive") == part.name).orderBy("offset").collect():
+            assert r.offset == at and parse_record(zlib.decompress(raw[at:at + r.length], wbits=31))["page_id"] == r.page_id
             at += r.length
+            members += 1
         assert at == len(raw)
+    assert members == len(kept)
     every = write_archives(pages, folder=str(tmp_path / "all"), min_bytes=10_000)[1]
     assert {r.page_id for r in every.filter("record_type = 'revisit'").collect()} == set()
 

@@ -1,10 +1,10 @@
 """WARC archives: write with an index, read selected records by coalesced byte ranges.
 
 Equal payloads are stored once: the record of the smallest page id is the response, the others
-revisit it. Records are dealt to archives of bounded size and sorted, so offsets are running sums
-of record lengths. Archives are written by the text writer with the record separator as line
-end, through whatever file system Spark uses and with its commit protocol; the index names
-archive, offset, length, URL and digest of each record. A reader sorts the index rows it wants,
+revisit it. Each task writes its records, one gzip member each, to archives of bounded size in a
+folder that all executors share and returns index rows: archive, offset, length, URL and digest of
+each record. An archive's name is new in every attempt, so a task that runs again never touches
+the files that index rows of another attempt point to. A reader sorts the index rows it wants,
 merges ranges that lie close together and reads each merged range once.
 """
 
@@ -14,10 +14,11 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.llm.common import ship
@@ -71,14 +72,18 @@ def record_head(row_url: str = "url") -> Column:
     )
 
 
+def uri(folder: str) -> str:
+    """Spark writes local folders as ``file:/...`` or as plain paths."""
+    return re.sub("^file:/+", "file:///", folder if "://" in folder or folder.startswith("file:") else f"file:{folder}")
+
+
 def write_archives(
     pages: DataFrame, folder: str | None = None, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES,
 ) -> tuple[str, DataFrame]:
     """Write all pages; returns the folder and the index.
 
     Index: page_id, url, payload_digest, payload_bytes, record_type, refers_to, archive, offset,
-    length. It is made before the archives, from digests and lengths alone. A NULL html is an
-    empty payload, a NULL url has no field. Payloads under ``min_bytes`` are all responses.
+    length. A NULL html is an empty payload, a NULL url has no field. Payloads under ``min_bytes`` are all responses.
     Repeated rows (same id and payload) are all of the kind of the first. Rows without an id are
     not archived. Other columns are not read.
     """
@@ -92,44 +97,62 @@ def write_archives(
     ).withColumn("_row", key)
     slim = stored(whole.select("page_id", "url", "_sha", "payload_bytes", "_row"))
     firsts = stored(slim.filter(F.col("payload_bytes") >= min_bytes).groupBy("_sha").agg(F.min("page_id").alias("_first")))
-    total = slim.agg(F.coalesce(F.sum(F.col("payload_bytes") + 512), F.lit(0))).first()[0]
-    archives = int(max(1, -(-total // archive_bytes)))
     typed = slim.join(firsts, "_sha", "left").select(
         "page_id", "url", "payload_bytes", "_row", base32(F.col("_sha")).alias("payload_digest"),
         F.when(F.col("_first") < F.col("page_id"), F.col("_first")).alias("refers_to"),
-        F.pmod(F.xxhash64("page_id"), F.lit(archives)).cast("int").alias("archive"),
-    ).withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
-    order = ["archive", "page_id", "_row"]
+    ).withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")).withColumn("head", record_head())
+    heads = typed.select("head", "record_type", "refers_to", "payload_digest", F.col("page_id").alias("_page"), F.col("_row").alias("_key")).distinct()
     response = F.col("record_type") == "response"
-    before = Window.partitionBy("archive").orderBy("page_id", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    index = stored(typed.withColumn("head", record_head()).withColumn(
-        "length", (F.octet_length("head") + F.when(response, F.col("payload_bytes")).otherwise(0) + len(SEPARATOR)).cast("long"),
-    ).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))))  # an archive is bounded
-    # equal rows have equal records, so one head serves all of them
-    heads = index.select(
-        "archive", "head", "record_type", F.col("page_id").alias("_page"), F.col("_row").alias("_key"),
-    ).distinct()
-    records = whole.join(
+    records = whole.join(  # equal rows have equal records, so one head serves all of them
         heads.hint("shuffle_hash"), (whole["page_id"] == heads["_page"]) & (whole["_row"] == heads["_key"]),
-    ).select(*order, F.when(response, F.concat("head", "html")).otherwise(F.col("head")).alias("record"))
-    records.repartition(archives, "archive").sortWithinPartitions(*order).select("archive", "record").write.partitionBy(
-        "archive",
-    ).option("lineSep", SEPARATOR).text(folder)
-    return folder, index.drop("_row", "head")
+    ).select(
+        "page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to",
+        F.when(response, F.concat("head", "html")).otherwise(F.col("head")).alias("record"),
+    )
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(uri(folder))
+        system.create_dir(place, recursive=True)
+        out, name, at = None, "", 0
+        for batch in batches:
+            spots = []
+            for record in batch.pop("record"):
+                if out is None or at >= archive_bytes:
+                    if out is not None:
+                        out.close()
+                    name, at = f"{uuid.uuid4().hex}.warc.gz", 0
+                    out = system.open_output_stream(f"{place}/{name}", compression=None)
+                member = zlib.compressobj(wbits=31)
+                raw = member.compress((record + SEPARATOR).encode("utf-8", "surrogatepass")) + member.flush()
+                out.write(raw)
+                spots.append((name, at, len(raw)))
+                at += len(raw)
+            batch["archive"], batch["offset"], batch["length"] = zip(*spots, strict=True) if spots else ([], [], [])
+            yield batch.astype({"refers_to": "Int64"})
+        if out is not None:
+            out.close()
+
+    index = stored(records.mapInPandas(
+        write, "page_id long, url string, payload_digest string, payload_bytes long, record_type string, refers_to long, "
+        "archive string, offset long, length long",
+    ))
+    return folder, index
 
 
 def _ranges(rows: pd.DataFrame) -> Iterator[tuple[str, int, int, list]]:
-    """Merged ranges of rows sorted by path and offset: path, begin, end, rows."""
+    """Merged ranges of rows sorted by archive and offset: archive, begin, end, rows."""
     held, path, begin, end = [], None, 0, 0
     for row in rows.itertuples(index=False):
         last = row.offset + row.length
-        if held and row.path == path and row.offset - end <= CLOSE_BYTES and last - begin <= READ_BYTES:
+        if held and row.archive == path and row.offset - end <= CLOSE_BYTES and last - begin <= READ_BYTES:
             held.append(row)
             end = max(end, last)
             continue
         if held:
             yield path, begin, end, held
-        held, path, begin, end = [row], row.path, row.offset, last
+        held, path, begin, end = [row], row.archive, row.offset, last
     if held:
         yield path, begin, end, held
 
@@ -153,31 +176,26 @@ def read_records(folder: str, selected: DataFrame, with_payload: bool = False) -
     ``payload`` (binary, of responses) is NULL unless ``with_payload``. ``payload_bytes`` of a
     revisit, which holds no payload, comes from the index.
     """
-    spark = selected.sparkSession
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(
-        F.regexp_extract("path", r"archive=(\d+)", 1).cast("int").alias("_archive"), "path",
-    ).filter(F.col("_archive").isNotNull())
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
+        system, place = fs.FileSystem.from_uri(uri(folder))
         for batch in batches:
             out = []
-            for path, begin, end, rows in _ranges(batch):
-                system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-                with system.open_input_file(place) as f:
+            for name, begin, end, rows in _ranges(batch):
+                with system.open_input_file(f"{place}/{name}") as f:
                     raw = f.read_at(end - begin, begin)
                 for row in rows:
-                    found = parse_record(raw[row.offset - begin:row.offset - begin + row.length])
+                    member = raw[row.offset - begin:row.offset - begin + row.length]
+                    found = parse_record(zlib.decompress(member, wbits=31))
                     payload = found.pop("payload")
                     found["payload_bytes"] = row.payload_bytes if payload is None else len(payload)
                     out.append(found | {"payload": payload if with_payload else None})
             if out:
                 yield pd.DataFrame(out).astype({"refers_to": "Int64"})
 
-    wanted = selected.select("archive", "offset", "length", "payload_bytes").join(files, F.col("archive") == F.col("_archive"))
-    return wanted.select("path", "offset", "length", "payload_bytes").repartition("path").sortWithinPartitions(
-        "path", "offset",
+    return selected.select("archive", "offset", "length", "payload_bytes").repartition("archive").sortWithinPartitions(
+        "archive", "offset",
     ).mapInPandas(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )
