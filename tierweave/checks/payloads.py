@@ -154,16 +154,12 @@ def _(t):
 
 def _package(t, block: str):
     """Packages of the seed list met in the part table, by key."""
-    from tierweave.fixed.sources import seed_rows
-
-    names = F.array(*[F.lit(r[0]) for r in seed_rows(block)])
+    names = F.array(*[F.lit(r[0]) for r in block])
     return t.part.groupBy((F.col("p_partkey") % F.size(names)).alias("k")).agg(F.sum("p_size").alias("n")).withColumn("package", F.get(names, F.col("k").cast("int")))
 
 
 def _package_sql(block: str) -> str:
-    from tierweave.fixed.sources import seed_rows
-
-    rows = seed_rows(block)
+    rows = [(package, pos, product, org) for pos, (package, product, org) in enumerate(block)]
     values = ", ".join("({}, '{}', '{}')".format(i, product.replace("'", "''"), org.replace("'", "''")) for _, i, product, org in rows)
     return f"SELECT v.product AS name, v.org AS company_name, CAST(sum(p_size) AS VARCHAR) AS uses FROM part JOIN (VALUES {values}) v(i, product, org) ON p_partkey % {len(rows)} = v.i GROUP BY ALL"
 

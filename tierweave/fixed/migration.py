@@ -115,10 +115,3 @@ TAG_RENAMES = {
     "open-weights": "open-source",
     "ai-chatbots": "chatbot",
 }
-
-# Dropped tags.
-TAGS_DROPPED = (
-    "generative-ai", "startup", "hardware", "agents", "data-labeling", "synthetic-data",
-    "vector-database", "model-serving", "mlops", "gpu-cloud", "inference", "safety",
-    "alignment", "governance", "privacy", "series-a",
-)

@@ -295,67 +295,57 @@ SKIPPED_BUNDLES = (
 )
 
 # Package | product | organisation.
-PYPI_PACKAGES = """
-    transformers | Transformers | Hugging Face
-    torch | PyTorch | Meta
-    tensorflow | TensorFlow | Google
-    langchain | LangChain | LangChain
-    openai | OpenAI Python SDK | OpenAI
-    anthropic | Anthropic Python SDK | Anthropic
-    diffusers | Diffusers | Hugging Face
-    datasets | HuggingFace Datasets | Hugging Face
-    sentence-transformers | Sentence Transformers | Hugging Face
-    gradio | Gradio | Hugging Face
-    streamlit | Streamlit | Snowflake
-    chromadb | ChromaDB | Chroma
-    pinecone-client | Pinecone | Pinecone
-    weaviate-client | Weaviate | Weaviate
-    qdrant-client | Qdrant | Qdrant
-    llama-index | LlamaIndex | LlamaIndex
-    vllm | vLLM | vLLM
-    mlflow | MLflow | Databricks
-    wandb | Weights & Biases | Weights & Biases
-    ray | Ray | Anyscale
-    ultralytics | Ultralytics YOLOv8 | Ultralytics
-    keras | Keras | Google
-    fastai | fast.ai | fast.ai
-    spacy | spaCy | Explosion
-    huggingface-hub | HuggingFace Hub | Hugging Face
-"""
-NPM_PACKAGES = """
-    openai | OpenAI Node SDK | OpenAI
-    @anthropic-ai/sdk | Anthropic Node SDK | Anthropic
-    langchain | LangChain.js | LangChain
-    @huggingface/inference | HuggingFace Inference JS | Hugging Face
-    llamaindex | LlamaIndex.TS | LlamaIndex
-    ai | Vercel AI SDK | Vercel
-    @tensorflow/tfjs | TensorFlow.js | Google
-    onnxruntime-web | ONNX Runtime Web | Microsoft
-    replicate | Replicate Node SDK | Replicate
-    @pinecone-database/pinecone | Pinecone Node SDK | Pinecone
-    chromadb | ChromaDB JS | Chroma
-    cohere-ai | Cohere Node SDK | Cohere
-"""
-DOCKER_IMAGES = """
-    vllm/vllm-openai | vLLM | vLLM
-    ollama/ollama | Ollama | Ollama
-    huggingface/text-generation-inference | TGI | Hugging Face
-    chromadb/chroma | ChromaDB | Chroma
-    qdrant/qdrant | Qdrant | Qdrant
-    milvusdb/milvus | Milvus | Zilliz
-    weaviate/weaviate | Weaviate | Weaviate
-    pytorch/pytorch | PyTorch | Meta
-    tensorflow/tensorflow | TensorFlow | Google
-    nvidia/tritonserver | Triton Inference Server | NVIDIA
-    localai/localai | LocalAI | LocalAI
-"""
-
-
-def seed_rows(block: str) -> list[tuple[str, int, str, str]]:
-    """(package, position, product, organisation) rows of one seed block."""
-    return [
-        (pkg, i, product, org)
-        for i, (pkg, product, org) in enumerate(
-            tuple(p.strip() for p in line.split("|")) for line in block.strip().splitlines()
-        )
-    ]
+PYPI_PACKAGES = (
+    ("transformers", "Transformers", "Hugging Face"),
+    ("torch", "PyTorch", "Meta"),
+    ("tensorflow", "TensorFlow", "Google"),
+    ("langchain", "LangChain", "LangChain"),
+    ("openai", "OpenAI Python SDK", "OpenAI"),
+    ("anthropic", "Anthropic Python SDK", "Anthropic"),
+    ("diffusers", "Diffusers", "Hugging Face"),
+    ("datasets", "HuggingFace Datasets", "Hugging Face"),
+    ("sentence-transformers", "Sentence Transformers", "Hugging Face"),
+    ("gradio", "Gradio", "Hugging Face"),
+    ("streamlit", "Streamlit", "Snowflake"),
+    ("chromadb", "ChromaDB", "Chroma"),
+    ("pinecone-client", "Pinecone", "Pinecone"),
+    ("weaviate-client", "Weaviate", "Weaviate"),
+    ("qdrant-client", "Qdrant", "Qdrant"),
+    ("llama-index", "LlamaIndex", "LlamaIndex"),
+    ("vllm", "vLLM", "vLLM"),
+    ("mlflow", "MLflow", "Databricks"),
+    ("wandb", "Weights & Biases", "Weights & Biases"),
+    ("ray", "Ray", "Anyscale"),
+    ("ultralytics", "Ultralytics YOLOv8", "Ultralytics"),
+    ("keras", "Keras", "Google"),
+    ("fastai", "fast.ai", "fast.ai"),
+    ("spacy", "spaCy", "Explosion"),
+    ("huggingface-hub", "HuggingFace Hub", "Hugging Face"),
+)
+NPM_PACKAGES = (
+    ("openai", "OpenAI Node SDK", "OpenAI"),
+    ("@anthropic-ai/sdk", "Anthropic Node SDK", "Anthropic"),
+    ("langchain", "LangChain.js", "LangChain"),
+    ("@huggingface/inference", "HuggingFace Inference JS", "Hugging Face"),
+    ("llamaindex", "LlamaIndex.TS", "LlamaIndex"),
+    ("ai", "Vercel AI SDK", "Vercel"),
+    ("@tensorflow/tfjs", "TensorFlow.js", "Google"),
+    ("onnxruntime-web", "ONNX Runtime Web", "Microsoft"),
+    ("replicate", "Replicate Node SDK", "Replicate"),
+    ("@pinecone-database/pinecone", "Pinecone Node SDK", "Pinecone"),
+    ("chromadb", "ChromaDB JS", "Chroma"),
+    ("cohere-ai", "Cohere Node SDK", "Cohere"),
+)
+DOCKER_IMAGES = (
+    ("vllm/vllm-openai", "vLLM", "vLLM"),
+    ("ollama/ollama", "Ollama", "Ollama"),
+    ("huggingface/text-generation-inference", "TGI", "Hugging Face"),
+    ("chromadb/chroma", "ChromaDB", "Chroma"),
+    ("qdrant/qdrant", "Qdrant", "Qdrant"),
+    ("milvusdb/milvus", "Milvus", "Zilliz"),
+    ("weaviate/weaviate", "Weaviate", "Weaviate"),
+    ("pytorch/pytorch", "PyTorch", "Meta"),
+    ("tensorflow/tensorflow", "TensorFlow", "Google"),
+    ("nvidia/tritonserver", "Triton Inference Server", "NVIDIA"),
+    ("localai/localai", "LocalAI", "LocalAI"),
+)

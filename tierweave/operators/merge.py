@@ -157,7 +157,7 @@ def _set_arrays(as_of: Column) -> tuple[dict[str, Column], list[Column]]:
         old_text = F.transform(old, lambda x: F.to_json(x)) if is_struct else old
         known = F.coalesce(old_text, F.array().cast("array<string>"))
         found = F.try_element_at(F.col("found"), F.lit(path))
-        fresh = F.filter(found, lambda x: ~F.array_contains(known, x["item"]))
+        fresh = F.filter(found, lambda x: ~F.coalesce(F.array_contains(known, x["item"]), F.lit(False)))
         added = F.coalesce(F.size(fresh), F.lit(0)) > 0
         items = F.transform(fresh, lambda x: F.from_json(x["item"], dtype.elementType) if is_struct else x["item"])
         merged = F.concat(F.coalesce(old, F.array().cast(dtype)), items)

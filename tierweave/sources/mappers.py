@@ -425,9 +425,10 @@ def papers_with_code(landed: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- registries and stores
 
 
-def _seeded(landed: DataFrame, block: str) -> DataFrame:
+def _seeded(landed: DataFrame, packages: tuple[tuple[str, str, str], ...]) -> DataFrame:
     """The fixed package list, at most a few dozen rows."""
-    rows = landed.sparkSession.createDataFrame(S.seed_rows(block), "package string, pos int, product string, org string")
+    listed = [(package, pos, product, org) for pos, (package, product, org) in enumerate(packages)]
+    rows = landed.sparkSession.createDataFrame(listed, "package string, pos int, product string, org string")
     return F.broadcast(rows)
 
 
