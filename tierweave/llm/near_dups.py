@@ -213,8 +213,13 @@ def _between_blocks(percent: int):
     return run
 
 
-def _packed(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("root", "blk").agg(F.collect_list(F.struct("label", "keys")).alias(name))  # about BLOCK rows
+def _packed(rows: DataFrame, part: str, name: str) -> DataFrame:
+    return rows.groupBy("root", part, "blocks").agg(F.collect_list(F.struct("label", "keys")).alias(name))  # about BLOCK rows
+
+
+def _to_every_block(rows: DataFrame, first: int = 0) -> DataFrame:
+    """A copy of each row per block of its neighbourhood, so that joins spread over blocks."""
+    return rows.withColumn("blk", F.explode(F.sequence(F.lit(first), F.col("blocks") - 1)))
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -279,23 +284,23 @@ def near_duplicates(
 
 def _across_blocks(wide: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
     """doc_id, label of neighbourhoods of several blocks, all links between blocks included."""
-    within = cut_lineage(wide.join(labels, "doc_id").select("doc_id", "root", "blk", "label", "keys"))
-    run, schema = _between_blocks(percent), "u long, v long"
-    pivot = _packed(within.filter("blk = 0"), "a").select("root", "a")
-    links = _packed(within.filter("blk > 0"), "b").join(pivot, "root").select("a", "b").mapInPandas(run, schema)
-    joined = cut_lineage(_relabelled(within.select("doc_id", "root", "label"), links))
+    within = cut_lineage(wide.join(labels, "doc_id").select("doc_id", "root", "blk", "blocks", "label", "keys"))
+    run, schema, key = _between_blocks(percent), "u long, v long", ["root", "blk"]
+    pivot = _to_every_block(_packed(within.filter("blk = 0"), "blk", "a").drop("blk"), 1).drop("blocks")
+    links = _packed(within.filter("blk > 0"), "blk", "b").join(pivot, key).select("a", "b").mapInPandas(run, schema)
+    joined = cut_lineage(_relabelled(within.select("doc_id", "root", "blocks", "label"), links))
     # the largest component of a neighbourhood needs no more links inside itself
-    counted = joined.groupBy("root", "label").agg(F.count("*").alias("n"))
-    main = counted.groupBy("root").agg(F.max(F.struct("n", F.negative("label").alias("l"))).alias("m")).select(
-        "root", F.negative("m.l").alias("main"),
+    counted = joined.groupBy("root", "blocks", "label").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", F.negative("label").alias("l")))
+    mains = counted.groupBy("root", "blocks").agg(largest.alias("m"), F.sum("n").alias("all")).select(
+        "root", "blocks", F.negative("m.l").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / block).cast("int").alias("many"),
+    )
+    state = cut_lineage(
+        within.drop("label").join(joined.select("doc_id", "label"), "doc_id").join(_to_every_block(mains).drop("blocks"), key),
     )
-    state = cut_lineage(within.drop("label").join(joined.select("doc_id", "label"), "doc_id").join(main, "root"))
-    outside = state.filter("label <> main")
-    outside = outside.join(
-        outside.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("many")), "root",
+    outside = state.filter("label <> main").withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("many")).cast("int"),
     )
-    outside = outside.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("many")).cast("int"))
-    left = _packed(outside, "a").select("root", "a")
-    grid = left.join(_packed(state, "b").select("root", "b"), "root").select("a", "b")
-    links = grid.mapInPandas(run, schema)
+    left = _to_every_block(_packed(outside, "part", "a").drop("part")).drop("blocks")
+    links = left.join(_packed(state, "blk", "b"), key).select("a", "b").mapInPandas(run, schema)
     return _relabelled(joined.select("doc_id", "label"), links).select("doc_id", "label")
