@@ -34,11 +34,16 @@ def _json_items(landed: DataFrame, schema: str, path: str) -> DataFrame:
     items = F.from_json("body", schema)
     for part in filter(None, path.split(".")):
         items = items[part]
-    return landed.select("seq", "url", F.posexplode(items).alias("pos", "i")).select(
-        (F.col("seq") * POSITIONS + F.col("pos")).alias("seq"), F.col("url").alias("page_url"), "i"
+    return landed.select("seq", "url", "fetched_at", F.posexplode(items).alias("pos", "i")).select(
+        (F.col("seq") * POSITIONS + F.col("pos")).alias("seq"), F.col("url").alias("page_url"), "fetched_at", "i"
     )
 
 
+def _fetched_on() -> Column:
+    """Day a page was fetched; today where that is not known."""
+    return F.coalesce(F.to_date("fetched_at"), F.current_date())
+
+
 def _unique(records: DataFrame, key: Column) -> DataFrame:
     return first_seen(records.withColumn("_key", key), "_key").drop("_key")
 
@@ -59,7 +64,7 @@ def wikidata(landed: DataFrame) -> DataFrame:
     companies = _unique(rows.select(
         "seq", val("companyLabel").alias("name"), entity.alias("entity"), val("companyDescription").alias("description"),
         val("website").alias("company_website"), val("article").alias("company_wikipedia_url"),
-        M.year_of(val("inception"), F.current_date()).alias("company_founded_year"),
+        M.year_of(val("inception"), _fetched_on()).alias("company_founded_year"),
         val("hqLabel").alias("company_headquarters_city"), val("countryLabel").alias("company_headquarters_country"),
         val("countryCode").alias("company_headquarters_country_code"),
     ), F.col("name"))
@@ -96,7 +101,7 @@ def crunchbase_records(landed: DataFrame, targets: DataFrame | None = None) -> D
         M.parse_money(body, S.CB_FUNDING).alias("company_total_raised_usd"),
         F.replace(F.lower(strip(group(body, S.CB_ROUND))), F.lit(" "), F.lit("-")).alias("company_last_round"),
         M.employee_range(group(body, S.CB_EMPLOYEES)).alias("company_employee_count_range"),
-        F.when(year.between(1900, 2026), year).alias("company_founded_year"),
+        F.when(year.between(1900, F.year(_fetched_on())), year).alias("company_founded_year"),
         G.headquarters_city(hq).alias("company_headquarters_city"),
         G.headquarters_country(hq).alias("company_headquarters_country"),
         F.lit("active").alias("status"),
