@@ -54,6 +54,16 @@ def id_crc(col: str) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def in_sample(col: str, share: float | Column) -> Column:
+    """Whether the hash of an id falls into a share of its range: a sample that no task has to sort."""
+    return F.abs(F.hash(F.col(col).cast("string"), F.lit("sample")).cast("long")) < share * float(1 << 31)
+
+
+def sample_bound(rows: int) -> int:
+    """A limit on collected sample rows, out of reach unless many rows share an id."""
+    return 2 * rows + 1000
+
+
 def clean(values) -> list[str]:
     """Texts of a pandas column, NULL as the empty text."""
     return [v if isinstance(v, str) else "" for v in values]

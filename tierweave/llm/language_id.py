@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierweave.llm.common import clean, id_crc, ship
+from tierweave.llm.common import clean, id_crc, in_sample, sample_bound, ship
 
 ship(__name__)
 
@@ -163,8 +163,7 @@ def fit_languages(
         return Languages([], {}, np.zeros((0, BUCKETS + 1)), {})
     # share of the hash range that gives about ``fit_texts`` rows
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, fit_texts / n))])
-    unit = F.abs(F.hash(F.col(id_col).cast("string"), F.lit("fit")).cast("long")) / float(1 << 31)
-    chosen = usable.filter(unit < F.element_at(share, F.col(lang_col)))
+    chosen = usable.filter(in_sample(id_col, F.element_at(share, F.col(lang_col))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -175,7 +174,7 @@ def fit_languages(
 
     rows = chosen.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInPandas(
         run, "lang string, x binary",
-    ).limit(2 * fit_texts * len(counts) + 1000).toPandas()  # a bound for the driver, far above the expected rows
+    ).limit(sample_bound(fit_texts * len(counts))).toPandas()
     if not len(rows):
         return Languages([], {}, np.zeros((0, BUCKETS + 1)), {})
     x = np.frombuffer(b"".join(rows["x"]), dtype=np.float16).reshape(-1, BUCKETS).astype(np.float32)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierweave.llm.common import clean, id_crc, ship
+from tierweave.llm.common import clean, id_crc, in_sample, sample_bound, ship
 
 ship(__name__)
 
@@ -165,7 +165,7 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS,
     held_out: tuple[int, int] | None = (4, 2),
 ) -> Attention | float:
-    """Model learnt from at most ``fit_docs`` documents of each label, chosen by hash of the id.
+    """Model learnt from about ``fit_docs`` documents of each label, chosen by hash of the id.
 
     ``held_out = (m, r)`` leaves out rows whose CRC-32 of the id is r modulo m. With labels of
     one kind only the result is that label as a constant, without any it is 1 (nothing rejected).
@@ -178,7 +178,8 @@ def fit_quality(
     if len(total) < 2:
         return float(next(iter(total), 1))
     parts = [
-        usable.filter(F.col("_label") == q).orderBy(F.xxhash64("_doc"), "_doc").limit(fit_docs) for q in (0, 1)
+        usable.filter((F.col("_label") == q) & in_sample("_doc", min(1.0, fit_docs / total[q]))).limit(sample_bound(fit_docs))
+        for q in (0, 1)
     ]
     bags = _bags(docs, parts[0].unionByName(parts[1]), id_col, text_col, FIT_PASSAGES)
     found = bags["label"].value_counts().to_dict()

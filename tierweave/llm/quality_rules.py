@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierweave.llm.common import WORD, clean, ship
+from tierweave.llm.common import WORD, clean, in_sample, sample_bound, ship
 from tierweave.session import cut_lineage
 
 ship(__name__)
@@ -151,6 +151,12 @@ def threshold(scores: np.ndarray, good: np.ndarray, good_lost: float = GOOD_LOST
 # ------------------------------------------------------------------ operator
 
 
+def _sample(rows: DataFrame, total: int, wanted: int) -> pd.DataFrame:
+    """About ``wanted`` rows by hash of the id, all if there are fewer."""
+    share = min(1.0, wanted / max(total, 1))
+    return rows.filter(in_sample("doc_id", share)).limit(sample_bound(wanted)).toPandas().sort_values("doc_id")
+
+
 def quality_rules(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fit_rows: int = FIT_ROWS, labelled_rows: int = LABELLED_ROWS, trees: int = TREES, subsample: int = SUBSAMPLE,
@@ -158,7 +164,7 @@ def quality_rules(
     """Counts, ``base_failed``, ``anomaly_score`` and ``kept`` per row.
 
     ``base_failed``: under 10 words, or over a fifth of the words in repeated windows. The forest
-    sees at most ``fit_rows`` rows that pass (smallest hash of the id), the threshold at most
+    sees about ``fit_rows`` rows that pass, chosen by hash of the id, the threshold about
     ``labelled_rows`` labelled ones of each quality. Without labels of both kinds nothing but
     ``base_failed`` rejects. NULL texts count as empty and fail. Repeated rows are scored alike.
     """
@@ -166,13 +172,11 @@ def quality_rules(
     stats = cut_lineage(rule_statistics(docs, id_col, text_col).withColumn(
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
     ))
-    by_hash = [F.xxhash64("doc_id"), "doc_id"]
     passing = stats.filter(~F.col("base_failed"))
-    sample = passing.orderBy(*by_hash).limit(fit_rows).toPandas()
-    judged = passing.join(labels.select(F.col("doc_id"), F.col("quality").alias("_quality")), "doc_id")
-    known = pd.concat([
-        judged.filter(F.col("_quality") == q).orderBy(*by_hash).limit(labelled_rows).toPandas() for q in (0, 1)
-    ])
+    sample = _sample(passing, passing.count(), fit_rows)
+    judged = cut_lineage(passing.join(labels.select(F.col("doc_id"), F.col("quality").alias("_quality")), "doc_id"))
+    total = {r[0]: r[1] for r in judged.groupBy("_quality").agg(F.count("*")).collect()}  # a few rows
+    known = pd.concat([_sample(judged.filter(F.col("_quality") == q), total.get(q, 0), labelled_rows) for q in (0, 1)])
     means = averages(sample)
     forest = grow_forest(features(sample, means), trees, subsample) if len(sample) else []
     used = min(subsample, max(len(sample), 1))
