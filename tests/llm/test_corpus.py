@@ -250,3 +250,16 @@ def test_pipeline_stages_on_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).collect()} <= {4, None}
     assert corpus_pipeline.near_duplicate_groups(spark, docs, SF).count() == 6
+
+
+def test_pipeline_rejects_unlearned_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = [
+        "这是一个中文文本，没有学过的语言。" * 5, "Эта строка на русском языке " * 5, "to jest tekst w języku polskim " * 5,
+        "tämä on suomenkielinen teksti jota malli ei tunne " * 4, "αυτό είναι ένα κείμενο στα ελληνικά " * 4, "##### $$$ a",
+    ]
+    rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(strange)]
+    got = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF)
+    kept = {r.doc_id for r in got.select("doc_id").collect()}
+    assert not {i for i in kept if i < 0}
+    assert len(kept) >= 0.99 * docs.count()
