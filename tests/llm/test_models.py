@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tierweave.llm import QUERIES
+from tierweave.llm.common import in_sample
 from tierweave.llm.language_id import Languages, fit_languages, svm, text_features, with_language
 from tierweave.llm.quality_model import Attention, fit_quality, passages, quality_scores, score_quality, text_groups, train
 from tierweave.llm.quality_rules import anomaly, average_path, grow_forest, quality_rules, repeated_words, rule_counts, threshold
@@ -62,6 +63,37 @@ def test_rules_on_labelled_data(spark):
     assert not got[got.base_failed].kept.any()
 
 
+def test_rules_limit_is_set_on_all_labelled_rows(spark):
+    rng = random.Random(5)
+
+    def text(symbols):
+        return " ".join(rng.choice(["w", "W", "wo", "w!"]) + str(rng.randrange(500)) for _ in range(60)) + " #" * symbols
+
+    # odd good rows are only outside the 4,096 that a sample by hash would take
+    sampled = {r.id for r in spark.range(9000).filter(in_sample("id", 4096 / 9000)).collect()}
+    odd = set([i for i in range(9000) if i not in sampled][:60])
+    rows = [(i, text(rng.randint(4, 40) if i in odd else 0)) for i in range(9000)] + [(9000 + i, text(rng.randint(4, 40))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = labels(spark, [(i, int(i < 9000), 0) for i, _ in rows])
+    got = quality_rules(docs, marks).toPandas()
+    got = got[~got.base_failed]
+    good, bad = got[got.doc_id < 9000], got[got.doc_id >= 9000]
+    allowed = int(0.002 * len(good))
+    limit = good.anomaly_score.sort_values().to_numpy()[-1 - allowed]
+    assert 0 < (~good.kept).sum() <= allowed
+    # fewest bad rows that a loss of so many good ones leaves, but for one bin of scores
+    assert abs(bad.kept.sum() - (bad.anomaly_score <= limit).sum()) <= (abs(bad.anomaly_score - limit) < 2**-15).sum()
+
+
+def test_threshold_weighs_good_against_bad():
+    good = np.arange(1000) < 900
+    scores = np.where(good, np.arange(1000) / 1000, 0.0)
+    assert threshold(scores, good) == 1.0  # no limit rejects a bad row
+    scores[~good] = 0.8985
+    assert threshold(scores, good) == 0.898  # one good row of 900 lies above
+    assert threshold(scores, good, counts=np.where(scores == 0.899, 2, 1)) == 1.0  # two would
+
+
 def test_rules_on_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, "a"), (2, "", None), (3, "one two", "b"), (3, "one two", "b"), (None, "no id " * 3, "c"), (4, "w " * 20000, "d")],

@@ -1,7 +1,8 @@
 """Quality rules: hard limits on rule statistics, then an isolation forest over them.
 
 The forest isolates rows by random splits; a row that few splits isolate is unlike the rest. It
-is grown on a bounded sample, its threshold is set on labelled rows, and every row is scored.
+is grown on a bounded sample; every row is scored, and the threshold is set on the scores of all
+labelled rows.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ RATIOS = ("word_chars", "n_symbols", "n_upper", "n_bangs")
 PRIOR_WORDS = 100
 
 FIT_ROWS = 4096
-LABELLED_ROWS = 4096
 TREES = 100
 SUBSAMPLE = 256
 #: Share of labelled good rows that the threshold may reject.
 GOOD_LOST = 0.002
+#: Bins of the score histograms that the threshold is read from.
+BINS = 1 << 16
 
 
 # ------------------------------------------------------------------ statistics
@@ -79,11 +81,6 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
 
 
-def averages(rows: pd.DataFrame) -> np.ndarray:
-    """Per-word means of ``RATIOS`` over the sample."""
-    return rows[list(RATIOS)].sum().to_numpy(float) / max(float(rows["n_words"].sum()), 1.0)
-
-
 def features(rows: pd.DataFrame, means: np.ndarray) -> np.ndarray:
     words = rows["n_words"].to_numpy(float)[:, None]
     return (rows[list(RATIOS)].to_numpy(float) + PRIOR_WORDS * means) / (words + PRIOR_WORDS)
@@ -141,11 +138,21 @@ def anomaly(forest: list[tuple[np.ndarray, ...]], x: np.ndarray, subsample: int
     return 2.0 ** (-total / len(forest) / max(float(average_path(subsample)), 1e-9))
 
 
-def threshold(scores: np.ndarray, good: np.ndarray, good_lost: float = GOOD_LOST) -> float:
-    """Lowest score limit above which at most ``good_lost`` of the good rows lie; 1 without bad rows."""
+def threshold(scores: np.ndarray, good: np.ndarray, good_lost: float = GOOD_LOST, counts: np.ndarray | None = None) -> float:
+    """The limit above which at most ``good_lost`` of the good rows lie and as many bad rows as possible.
+
+    Of the limits that keep equally few bad rows the highest; 1 where none rejects a bad row.
+    ``counts``: rows that each score stands for.
+    """
+    counts = np.ones(len(scores)) if counts is None else counts
     if good.all() or not good.any():
         return 1.0
-    return float(np.quantile(scores[good], 1 - good_lost, method="higher")) + 1e-9
+    levels, at = np.unique(scores, return_inverse=True)
+    kept_good = np.bincount(at, counts * good).cumsum()
+    kept_bad = np.bincount(at, counts * ~good).cumsum()
+    allowed = kept_good[-1] - kept_good <= good_lost * kept_good[-1]
+    fewest = kept_bad[allowed].min()
+    return float(levels[allowed & (kept_bad == fewest)].max()) if fewest < kept_bad[-1] else 1.0
 
 
 # ------------------------------------------------------------------ operator
@@ -159,37 +166,39 @@ def _sample(rows: DataFrame, total: int, wanted: int) -> pd.DataFrame:
 
 def quality_rules(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    fit_rows: int = FIT_ROWS, labelled_rows: int = LABELLED_ROWS, trees: int = TREES, subsample: int = SUBSAMPLE,
+    fit_rows: int = FIT_ROWS, trees: int = TREES, subsample: int = SUBSAMPLE,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``anomaly_score`` and ``kept`` per row.
 
     ``base_failed``: under 10 words, or over a fifth of the words in repeated windows. The forest
-    sees about ``fit_rows`` rows that pass, chosen by hash of the id, the threshold about
-    ``labelled_rows`` labelled ones of each quality. Without labels of both kinds nothing but
-    ``base_failed`` rejects. NULL texts count as empty and fail. Repeated rows are scored alike.
+    grows on about ``fit_rows`` rows that pass, chosen by hash of the id; the per-word means are
+    those of all rows that pass, the threshold is read from the scores of all labelled ones.
+    Without labels of both kinds nothing but ``base_failed`` rejects. NULL texts count as empty and
+    fail. Repeated rows are scored alike.
     """
     spark = docs.sparkSession
     stats = cut_lineage(rule_statistics(docs, id_col, text_col).withColumn(
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
     ))
     passing = stats.filter(~F.col("base_failed"))
-    sample = _sample(passing, passing.count(), fit_rows)
-    judged = cut_lineage(passing.join(labels.select(F.col("doc_id"), F.col("quality").alias("_quality")), "doc_id"))
-    total = {r[0]: r[1] for r in judged.groupBy("_quality").agg(F.count("*")).collect()}  # a few rows
-    known = pd.concat([_sample(judged.filter(F.col("_quality") == q), total.get(q, 0), labelled_rows) for q in (0, 1)])
-    means = averages(sample)
+    total = passing.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("n_words", *RATIOS)]).first()
+    means = np.array([total[c] or 0 for c in RATIOS], dtype=float) / max(total["n_words"] or 0, 1)
+    sample = _sample(passing, total["n"], fit_rows)
     forest = grow_forest(features(sample, means), trees, subsample) if len(sample) else []
-    used = min(subsample, max(len(sample), 1))
-    limit = 1.0
-    if forest and len(known):
-        limit = threshold(anomaly(forest, features(known, means), used), known["_quality"].to_numpy() == 1)
-    model = spark.sparkContext.broadcast((forest, means, limit, used))
+    model = spark.sparkContext.broadcast((forest, means, min(subsample, max(len(sample), 1))))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema)
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forest, means, limit, used = model.value
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest, means, used = model.value
         for batch in batches:
-            score = anomaly(forest, features(batch, means), used) if forest and len(batch) else np.zeros(len(batch))
-            yield batch.assign(anomaly_score=score, kept=~batch["base_failed"].to_numpy(bool) & (score <= limit))
-
-    return stats.mapInPandas(judge, f"{schema}, anomaly_score double, kept boolean")
+            yield batch.assign(anomaly_score=anomaly(forest, features(batch, means), used) if forest and len(batch) else np.zeros(len(batch)))
+
+    scored = cut_lineage(stats.mapInPandas(score, f"{schema}, anomaly_score double"))
+    known = scored.filter(~F.col("base_failed")).join(labels.select("doc_id", F.col("quality").alias("_quality")), "doc_id")
+    bins = known.filter(F.col("_quality").isin(0, 1)).groupBy(
+        "_quality", F.floor(F.col("anomaly_score") * BINS).alias("_bin"),
+    ).agg(F.count("*").alias("_n")).toPandas()  # at most BINS rows a label
+    limit = threshold(  # the largest score of a bin
+        np.nextafter((bins["_bin"].to_numpy(float) + 1) / BINS, 0), bins["_quality"].to_numpy() == 1, counts=bins["_n"].to_numpy(),
+    )
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly_score") <= limit))
