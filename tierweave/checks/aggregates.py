@@ -105,7 +105,7 @@ def _(t):
 
 def _judged(t):
     r = normalize.with_issues(normalize.normalize(t.incoming), as_of())
-    found = resolve.resolve(r, t.catalog, fuzzy=False)
+    found = resolve.resolve(r, t.catalog)
     return found.select("source", (F.size("issues") > 0).alias("rejected"), "match_slug")
 
 
