@@ -18,6 +18,8 @@ rank in the list of steps. The sweep itself only sees the histogram, whose size
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -37,26 +39,47 @@ PIECE = "doc_id {id_type}, piece int, start long, length long, ids_crc32 long, i
 
 # ------------------------------------------------------------------ tokens
 
+#: A word no byte-level pre-tokenizer cuts.
+_LATIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
-def _library_encoder(data: bytes):
-    """text -> little-endian ids, as the library gives them for the whole text."""
+
+def byte_spelling() -> dict[int, str]:
+    """Byte -> the printable character that byte-level vocabularies spell it with (the format's rule)."""
+    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in keep else next(rest)) for b in range(256)}
+
+
+def library_encoder(data: bytes):
+    """text -> little-endian ids, as the library gives them for the whole text.
+
+    Chunks are remembered. A chunk met for the first time is one word of Latin letters, which the
+    pre-tokenizer leaves whole and so goes to the library's merges directly, or is cut into parts
+    that are remembered themselves; anything else goes through the whole library.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(data.decode())
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    merge = tokenizer.model.tokenize
+    packed = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
+    spelled = byte_spelling()
 
     def direct(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def split(key: str, memo: Memo, lead: str) -> bytes:
+    def new(key: str, memo: Memo, lead: str, mark: str) -> bytes:
+        if _LATIN_WORD.fullmatch(key):
+            word = key if key.isascii() else key.encode().decode("latin-1").translate(spelled)
+            return b"".join([packed[token.id] for token in merge(mark + word)])
         parts = chunk_parts(key)
         if parts:
             return memo[parts[0]] + b"".join(map(bare.__getitem__, parts[1:]))
         return direct(lead + key)
 
-    bare = Memo(lambda key: split(key, bare, ""), limit=100_000)
-    spaced = Memo(lambda key: split(key, spaced, " "), limit=600_000)
+    bare = Memo(lambda key: new(key, bare, "", ""), limit=100_000)
+    spaced = Memo(lambda key: new(key, spaced, " ", spelled[ord(" ")]), limit=600_000)
 
     def encode(text: str) -> bytes:
         if any(s in text for s in specials):
@@ -83,7 +106,7 @@ def tokenized_pieces(
     closing = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = worker_cache(("library", vocabulary), lambda: _library_encoder(data.value))
+        encode = worker_cache(("library", vocabulary), lambda: library_encoder(data.value))
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], clean(batch["text"]), strict=True):
