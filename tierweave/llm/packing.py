@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierweave.llm.bpe import byte_letters
 from tierweave.llm.common import Memo, chunk_parts, chunks, clean, read_bytes, ship, worker_cache
 from tierweave.session import cut_lineage, global_row_number
 
@@ -43,13 +44,6 @@ PIECE = "doc_id {id_type}, piece int, start long, length long, ids_crc32 long, i
 _LATIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
-def byte_spelling() -> dict[int, str]:
-    """Byte -> the printable character that byte-level vocabularies spell it with (the format's rule)."""
-    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return {b: chr(b if b in keep else next(rest)) for b in range(256)}
-
-
 def library_encoder(data: bytes):
     """text -> little-endian ids, as the library gives them for the whole text.
 
@@ -64,7 +58,7 @@ def library_encoder(data: bytes):
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     merge = tokenizer.model.tokenize
     packed = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
-    spelled = byte_spelling()
+    spelled = {ord(byte): letter for letter, byte in byte_letters().items()}
 
     def direct(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierweave.llm.bpe_codec import round_trip
 from tierweave.llm.common import table, vocabulary
+from tierweave.llm.filter_audit import filter_audit, filter_audit_sql
 from tierweave.llm.language_id import language_predictions
 from tierweave.llm.line_dedup import line_dedup_sql, without_widespread_lines
 from tierweave.llm.near_dups import near_duplicates
@@ -16,7 +17,9 @@ from tierweave.llm.packing import pack
 from tierweave.llm.quality_model import quality_scores
 from tierweave.llm.quality_rules import quality_rules
 from tierweave.llm.token_counts import token_counts
+from tierweave.llm.token_files import written_and_read
 from tierweave.llm.topk import exact_top_k, top_k_sql
+from tierweave.llm.vector_codes import vector_codes, vector_codes_sql
 from tierweave.llm.warc import archive_and_read, warc_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +100,24 @@ def op10_line_dedup(spark, sf_dir):
 
 
 ORACLES["op10_line_dedup"] = line_dedup_sql()
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_vector_codes"] = vector_codes_sql()
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = filter_audit_sql()
+
+
+@query
+def op13_token_files(spark, sf_dir):
+    return written_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
