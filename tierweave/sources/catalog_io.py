@@ -6,7 +6,6 @@ import json
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +13,8 @@ from pyspark.sql import types as T
 from tierweave import schemas
 from tierweave.fixed import taxonomy, terms
 from tierweave.session import global_row_number
+from tierweave.sources.buckets import read_buckets
+from tierweave.sources.pointers import Pointer, latest, publish
 
 CORRUPT = "_corrupt_record"
 
@@ -48,33 +49,27 @@ def corrupt_bodies(df: DataFrame, schema: str, body: str = "body") -> DataFrame:
     return df.filter(parsed[CORRUPT].isNotNull())
 
 
-def _pointers(spark: SparkSession, path: str) -> DataFrame:
-    """(number, version) of every published version."""
-    try:
-        return spark.read.schema("number long, version string").json(f"{path}/_current")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "number long, version string")
+def write_catalog(catalog: DataFrame, path: str, version: str, after: int | None = None) -> str:
+    """Write a new version folder, then publish a pointer to it; the highest pointer counts.
 
-
-def write_catalog(catalog: DataFrame, path: str, version: str) -> str:
-    """Write a new version folder, then add a pointer to it; the highest pointer counts.
-
-    Nothing is replaced: a reader sees the old version until the new pointer file is complete.
+    Nothing is replaced: a reader sees the old version until the new pointer is complete. ``after``
+    is the number of the version the catalog was made from; if another writer has published since,
+    ``VersionTaken`` is raised and the old version stays.
     """
+    spark = catalog.sparkSession
+    after = latest(spark, path).number if after is None else after
     target = f"{path}/version={version}"
     catalog.write.mode("overwrite").parquet(target)
-    spark = catalog.sparkSession
-    last = _pointers(spark, path).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
-    spark.createDataFrame([(last + 1, version)], "number long, version string").coalesce(1).write.mode("append").json(f"{path}/_current")
+    publish(spark, path, Pointer(after + 1, version))
     return target
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The catalog version of the highest pointer."""
-    version = _pointers(spark, path).agg(F.max_by("version", "number")).first()[0]
-    return spark.read.schema(schemas.PRODUCT).parquet(f"{path}/version={version}")
+    pointer = latest(spark, path)
+    if pointer.folders is not None:
+        return read_buckets(spark, path, pointer)
+    return spark.read.schema(schemas.PRODUCT).parquet(f"{path}/version={pointer.version}")
 
 
 def write_index(index: DataFrame, path: str) -> None:
