@@ -93,6 +93,46 @@ def test_fuzzy_names_equal_brute_force(spark):
             assert got[p][0] == min(scored)[2], (p, got[p], sorted(scored)[:3])
 
 
+def test_deep_and_dense_names_equal_brute_force(spark):
+    # many deletions a side, names over the length that is shortened twice, and a group where all are alike
+    rng = random.Random(13)
+    owned = [(f"customer#0000{i:05d}", f"c{i:03d}") for i in range(60)]
+    owned += [("".join(rng.choice("abcdefgh ") for _ in range(rng.choice([18, 24, 33, 45, 60]))), f"x{i:03d}") for i in range(60)]
+    probes = ["customer 00012", "customer#0000999991", "cstomer#00000001", "c" * 300]
+    for name, _ in owned[::3]:
+        for cuts in (2, 3, 5, 8):
+            n = list(name)
+            for _ in range(cuts):
+                i = rng.randrange(len(n))
+                n[i:i + rng.randint(0, 1)] = rng.choice(["", "z", "q"])
+            probes.append("".join(n))
+    got = {r.name: (r.slug, r.ratio) for r in fuzzy_name_match(
+        spark.createDataFrame([(p,) for p in probes], "name string"), spark.createDataFrame(owned, "name string, slug string"),
+    ).collect()}
+    depths = set()
+    for p in set(probes):
+        scored = []
+        for name, slug in owned:
+            m = slow_lcs(p, name)
+            if 2 * m / (len(p) + len(name)) >= 0.85:
+                scored.append((max(len(p), len(name)) - m, -2 * m / (len(p) + len(name)), slug))
+        assert (p in got) == bool(scored), p
+        if scored:
+            depths.add(min(scored)[0])
+            assert got[p] == (min(scored)[2], pytest.approx(-min(scored)[1])), (p, got[p], sorted(scored)[:3])
+    assert depths >= {1, 2, 3, 4}
+
+
+def test_hot_keys_are_split(spark, monkeypatch):
+    import tierweave.operators.similarity as similarity
+
+    monkeypatch.setattr(similarity, "KEY_ROWS", 3)
+    a = spark.createDataFrame([(f"a{i}", 5, 5, i % 2) for i in range(8)], "id string, la int, lb int, key long")
+    b = spark.createDataFrame([(f"b{i}", 5, 5, 0) for i in range(20)] + [("b99", 5, 5, 1)], "id string, la int, lb int, key long")
+    want = {(f"a{i}", f"b{j}") for i in range(0, 8, 2) for j in range(20)} | {(f"a{i}", "b99") for i in range(1, 8, 2)}
+    assert {tuple(r) for r in similarity._key_pairs(a, b).collect()} == want
+
+
 def test_plans_have_no_cartesian_product(spark):
     df = spark.createDataFrame([("a", "some text that is long enough")], "slug string, text string")
     plan = near_duplicate_texts(df, df)._jdf.queryExecution().executedPlan().toString()

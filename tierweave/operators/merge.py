@@ -19,7 +19,6 @@ from tierweave.fixed.taxonomy import MAX_TAGS
 from tierweave.functions.base import blank_to_null, truthy
 from tierweave.functions.geo import trust_score
 from tierweave.functions.url import company_url
-from tierweave.session import cut_lineage
 
 AUXILIARY, GENERATED = 4, 3
 
@@ -39,31 +38,56 @@ def _value(path: str) -> str:
     return "v__" + path.replace(".", "__")
 
 
-def _winner(value: Column, allowed: Column) -> Column:
-    """First arrival of the lowest tier among allowed, non-NULL values."""
-    claim = F.struct(value.alias("value"), F.col("source_tier").alias("tier"), F.col("source"))
-    ok = value.isNotNull() & allowed
-    order = F.struct("source_tier", "seq")
-    return F.min_by(F.when(ok, claim), F.when(ok, order))
+#: Bits of the arrival number in the key of a claim.
+ARRIVAL_BITS = 56
 
 
-def _summarise_scalars(records: DataFrame) -> DataFrame:
+def _claim_key() -> Column:
+    """Tier and arrival in one long, so that the least key is the first arrival of the lowest tier."""
+    return F.shiftleft(F.col("source_tier").cast("long"), ARRIVAL_BITS).bitwiseOR(F.col("seq").cast("long"))
+
+
+def _arrival(key: Column) -> Column:
+    return key.bitwiseAND((1 << ARRIVAL_BITS) - 1)
+
+
+def _claimed() -> dict[str, Column]:
+    """The value a record claims for each path; NULL where it claims none."""
     not_aux = F.col("source_tier") != AUXILIARY
-    aggs = [
-        _winner(F.col(c).cast(schemas.field_type(schemas.PRODUCT, path)), not_aux).alias(_slot(path))
-        for c, path in SCALAR_PATHS.items()
-    ]
-    adverts = (F.col("source_tier") == AUXILIARY) & (F.size("hiring_positions") > 0)
-    first = F.struct(
-        company_url("company_website", "company_wikipedia_url", "company_name", "name").alias("value"),
-        F.col("source_tier").alias("tier"),
-        F.col("source"),
+    adverts = ~not_aux & (F.size("hiring_positions") > 0)
+    return {
+        **{p: F.when(not_aux, F.col(c).cast(schemas.field_type(schemas.PRODUCT, p))) for c, p in SCALAR_PATHS.items()},
+        "hiring.is_hiring": F.when(adverts, F.lit(True)),
+        "company.url": company_url("company_website", "company_wikipedia_url", "company_name", "name"),
+    }
+
+
+def _summarise_scalars(records: DataFrame) -> DataFrame:
+    """Per product and path the winning claim: value, tier, source.
+
+    Only keys are compared, by hash aggregation over longs. The values are fetched from the few
+    records that won something, by a join on product and arrival that no hot product can skew.
+    """
+    claimed, key = _claimed(), _claim_key()
+    least = records.groupBy("slug").agg(
+        *[F.min(F.when(v.isNotNull(), key)).alias(_slot(p)) for p, v in claimed.items() if p != "company.url"],
+        F.min("seq").cast("long").alias(_slot("company.url")),  # of any tier
     )
-    return records.groupBy("slug").agg(
-        *aggs,
-        _winner(F.when(adverts, F.lit(True)), F.lit(True)).alias(_slot("hiring.is_hiring")),
-        F.min_by(first, "seq").alias(_slot("company.url")),
+    slots = [_slot(p) for p in claimed]
+    won = least.select("slug", F.explode(F.array_distinct(F.array_compact(F.array(*[_arrival(F.col(s)) for s in slots])))).alias("seq"))
+    claim = F.struct(
+        F.col("seq").cast("long").alias("seq"), F.col("source_tier").alias("tier"), F.col("source"),
+        F.struct(*[v.alias(_slot(p)) for p, v in claimed.items()]).alias("values"),
     )
+    # at most one record per path
+    fetched = records.join(won, ["slug", "seq"]).select("slug", claim.alias("c")).groupBy("slug").agg(F.collect_list("c").alias("_claims"))
+
+    def winner(slot: str) -> Column:
+        at = _arrival(F.col(slot))
+        c = F.get(F.filter("_claims", lambda x: x["seq"] == at), F.lit(0))
+        return F.when(F.col(slot).isNotNull(), F.struct(c["values"][slot].alias("value"), c["tier"].alias("tier"), c["source"].alias("source")))
+
+    return least.join(fetched, "slug").select("slug", *[winner(s).alias(s) for s in slots])
 
 
 def _items_long(records: DataFrame) -> DataFrame:
@@ -393,8 +417,6 @@ def create_products(records: DataFrame, as_of: Column, last_wins: bool = False)
     created = _create_single(lead, as_of)
     if last_wins:
         return created
-    # the merge reads every field several times: from here on they are stored, not derived
-    created = cut_lineage(created)
     firsts = lead.select("slug", F.col("seq").alias("first_seq"))
     rest = records.join(firsts, "slug").filter(F.col("seq") > F.col("first_seq")).select(*names)
     return tiered_merge(created, rest, as_of)

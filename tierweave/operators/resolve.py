@@ -9,6 +9,7 @@ from tierweave.functions.base import blank_to_null, compact, truthy
 from tierweave.functions.text import slugify
 from tierweave.functions.url import extract_domain
 from tierweave.operators.similarity import fuzzy_name_match
+from tierweave.session import cut_lineage
 
 # Rule names in order of precedence.
 RULES = (
@@ -66,9 +67,12 @@ def resolve(records: DataFrame, catalog: DataFrame, fuzzy: bool = True, shared_h
     fuzzy_rule = RULES.index("fuzzy_name")
     exact = hits.groupBy("seq").agg(F.min_by(F.struct("rule", "match_slug"), F.struct("rule")).alias("m")).select("seq", "m.*")
     if fuzzy:
+        exact = cut_lineage(exact)
         named = records.select("seq", F.lower("name").alias("name"))
         placed = exact.filter(F.col("rule") < fuzzy_rule).select("seq")
         left = named.join(placed, "seq", "left_anti")
+        # read again by every step of the name join
+        left = cut_lineage(left)
         similar = fuzzy_name_match(left, catalog.select(F.lower("name").alias("name"), "slug"))
         found = left.join(similar, "name").select("seq", F.lit(fuzzy_rule).alias("rule"), F.col("slug").alias("match_slug"))
         exact = exact.unionByName(found).groupBy("seq").agg(

@@ -3,8 +3,9 @@
 Both joins are exact: every filter only drops pairs that cannot reach the limit.
 
 Names: names that agree after at most one deletion on either side meet on those shortened
-forms; each form keeps only its best catalog name, so no group is ever expanded to pairs.
-What is left meets on its rarest character pairs (prefix filter).
+forms; each form keeps only its best catalog name, so no group is ever expanded to pairs. Those
+without a match are shortened once more. What is left meets on pairs of rare grams, where lengths
+allow a match at all (extended prefix filter).
 
 Texts: equal texts meet on the text itself and near copies on shared word sketches, each
 probe against at most two leaders per sketch, so a group of copies of any size costs linear
@@ -20,6 +21,7 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 from math import ceil
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -40,11 +42,22 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: How many of the most frequent grams are ranked last; a hint for speed, not a limit.
 RANKED_GRAMS = 4096
 SKETCHES = 4
+#: Names up to this length are shortened by two characters, at most 820 forms each.
+SHORTENED_LENGTH = 40
+#: Texts up to this length meet on pairs of grams, longer ones on single grams.
+PAIRED_LENGTH = 96
+#: Rows that one key holds before it is split.
+KEY_ROWS = 2048
 #: Rows per block of the last step of the text join.
 BLOCK_ROWS = 4096
 COUNTED = " etaoinsrhlducmgp"
 
 
+def _best() -> Column:
+    """Fewest characters deleted on either side, then the highest ratio, then the lowest slug."""
+    return F.struct("cut", (-F.col("ratio")).alias("r"), "slug")
+
+
 # ------------------------------------------------------------------ ratio
 
 
@@ -144,19 +157,13 @@ def _grams(text: str, q: int) -> list[str]:
     return [text[i:i + q] for i in range(len(text) - q + 1)]
 
 
-def _shared_at_least(length: int, q: int, limit: float) -> int:
-    """Grams any partner reaching ``limit`` shares with a text of this length, at least.
+def shared_grams(la: int, lb: int, q: int, limit: float) -> int:
+    """Grams that texts of these lengths share at least when they reach ``limit``.
 
     With M common characters, la - M deletions and lb - M insertions disturb at most
     q and q - 1 grams each.
     """
-    low = max(1, ceil(length * limit / (2 - limit) - 1e-9))
-    high = int(length * (2 - limit) / limit + 1e-9)
-    # the bound grows with the partner's length but for rounding: the low end decides
-    return min(
-        (2 * q - 1) * ceil(limit * (length + other) / 2 - 1e-9) - (q - 1) * (length + other + 1)
-        for other in range(low, min(high, low + 8 * q) + 1)
-    )
+    return (2 * q - 1) * ceil(limit * (la + lb) / 2 - 1e-9) - (q - 1) * (la + lb + 1)
 
 
 def _gram_frequencies(texts: DataFrame, q: int) -> DataFrame:
@@ -178,38 +185,62 @@ def _hot_grams(texts: DataFrame, q: int) -> dict[str, int]:
     return {r.gram: r.n for r in top.collect()}
 
 
-def _prefix_keys(hot: dict[str, int], q: int, limit: float):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            seen: Counter = Counter()
-            numbered = []
-            for g in _grams(text, q):
-                seen[g] += 1
-                numbered.append((hot.get(g, 0), g, seen[g]))
-            numbered.sort()
-            keep = len(numbered) - max(1, _shared_at_least(len(text), q, limit)) + 1
-            out.append([f"{g}{n}" for _, g, n in numbered[:keep]])
-        return pd.Series(out)
-
-    return keys
-
-
-def _prefix_pairs(probes: DataFrame, build: DataFrame, q: int, limit: float) -> DataFrame:
-    """Distinct (probe id, build id) pairs that share a rare gram and fit in length."""
-    keys = _prefix_keys(_hot_grams(build, q), q, limit)
-
-    def keyed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            F.col("id").alias(f"{side}_id"), F.length("text").alias(f"{side}_len"),
-            F.explode(F.transform(keys("text"), lambda k: F.xxhash64(k))).alias("key"),
-        )
+def prefix_keys(text: str, other: int, hot: dict[str, int], q: int, limit: float) -> list[int]:
+    """Keys of a text towards partners of length ``other``: partners that reach ``limit`` share one.
+
+    Of two texts that share ``need`` grams, the rarest ``grams - need + t`` of each share ``t``:
+    the keys are the pairs of such grams (t = 2), or for long texts the grams themselves.
+    """
+    need = shared_grams(len(text), other, q, limit)
+    if need < 1:
+        return [0]
+    seen: Counter = Counter()
+    numbered = []
+    for g in _grams(text, q):
+        seen[g] += 1
+        numbered.append((hot.get(g, 0), g, seen[g]))
+    numbered.sort()
+    # both sides must decide alike, so by the lengths alone
+    together = 2 if need > 1 and max(len(text), other) <= PAIRED_LENGTH else 1
+    rarest = [f"{g}{n}" for _, g, n in numbered[:max(0, len(numbered) - need + together)]]
+    if together == 1:
+        return [crc32(g.encode()) for g in rarest]
+    return [crc32(f"{g}\0{h}".encode()) for i, g in enumerate(rarest) for h in rarest[i + 1:]]
+
+
+def _partner_lengths(df: DataFrame, other: DataFrame, limit: float, cut: int) -> DataFrame:
+    """The rows once per length of ``other`` with which they can reach ``limit`` at ``cut`` or more deletions a side."""
+    n = F.length("text")
+    step = (2 - limit) / limit
+    lengths = other.select(F.length("text").alias("other")).distinct()
+    reach = F.explode(F.sequence(F.ceil(n / step - 1e-9).cast("int"), F.floor(n * step + 1e-9).cast("int"))).alias("other")
+    deepest = F.greatest(n, F.col("other")) - F.ceil((n + F.col("other")) * (limit / 2) - 1e-9)
+    return df.select("*", reach).join(lengths, "other").filter(deepest >= cut)
 
-    a, b = keyed(probes, "a"), keyed(build, "b")
-    short, long = F.least("a_len", "b_len"), F.greatest("a_len", "b_len")
-    fits = (F.col("a_id") != F.col("b_id")) & (short * (2 - limit) >= long * limit - 1e-9)
-    return a.join(b, "key").filter(fits).select("a_id", "b_id").distinct()
+
+#: Columns on which two keyed sides meet.
+MET = ["la", "lb", "key"]
+
+
+def _keyed(df: DataFrame, other: DataFrame, hot: dict[str, int], mine: str, theirs: str, q: int, limit: float, cut: int) -> DataFrame:
+    """(id, la, lb, key) of every text and length of a possible partner."""
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(texts: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([prefix_keys(t, n, hot, q, limit) for t, n in zip(texts, others)])
+
+    return _spread(_partner_lengths(df, other, limit, cut), "id", "other").select(
+        "id", F.length("text").alias(mine), F.col("other").alias(theirs), F.explode(keys("text", "other")).alias("key"),
+    )
+
+
+def _key_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct (a_id, b_id) that share a key; a key held by many is split."""
+    many = b.groupBy(*MET).agg(F.ceil(F.count("*") / KEY_ROWS).cast("int").alias("parts")).filter("parts > 1")
+    split = b.join(many, MET, "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    asked = a.join(many, MET, "left").select(F.col("id").alias("a_id"), *MET, every)
+    held = split.select(F.col("id").alias("b_id"), *MET, "part")
+    return asked.join(held, [*MET, "part"]).filter(F.col("a_id") != F.col("b_id")).select("a_id", "b_id").distinct()
 
 
 # ------------------------------------------------------------------ blocks
@@ -264,28 +295,26 @@ def _block_pairs(probes: DataFrame, build: DataFrame, limit: float) -> DataFrame
 # ------------------------------------------------------------------ names
 
 
-def _shortened(name: Column) -> Column:
-    """The name and every form with one character deleted."""
-    n = F.length(name)
-    cuts = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.concat(F.substr(name, F.lit(1), i - 1), F.substr(name, i + 1)),
-    )
-    return F.array_distinct(F.concat(F.array(name), cuts))
+def _shortened(name: Column, twice: bool = False) -> Column:
+    """The name and every form with one character deleted, or two."""
+    def left(text: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))),
+            lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)),
+        )
 
+    once = F.concat(F.array(name), left(name))
+    return F.array_distinct(F.concat(once, F.flatten(F.transform(left(name), left))) if twice else once)
 
-def fuzzy_name_match(probes: DataFrame, catalog: DataFrame, limit: float = NAME_SIMILARITY) -> DataFrame:
-    """(name, slug, ratio): the catalog name each probe name matches, if any.
 
-    ``probes(name)``, ``catalog(name, slug)``, both lower-cased. Among the names that reach
-    the limit the one with the fewest characters deleted on either side wins, then the
-    highest ratio, then the lowest slug.
-    """
-    wanted = probes.filter(F.length("name") > 0).select("name").distinct()
-    owned = catalog.filter(F.length("name") > 0).groupBy("name").agg(F.max("slug").alias("slug"))
+def _by_forms(wanted: DataFrame, owned: DataFrame, limit: float, cut: int) -> DataFrame:
+    """(name, slug, ratio) of the best owner at ``cut`` deletions a side or fewer.
 
+    Names meet on their shortened forms. A form keeps one owner per length of name, so a dense
+    group of names is never unfolded to pairs.
+    """
     def forms(df: DataFrame) -> DataFrame:
-        return df.withColumn("form", F.explode(_shortened(F.col("name"))))
+        return _spread(df, "name").withColumn("form", F.explode(_shortened(F.col("name"), cut > 1)))
 
     best = forms(owned).groupBy("form", F.length("name").alias("b_len")).agg(F.min("slug").alias("slug"))
     a_len, kept = F.length("name"), F.length("form")
@@ -298,29 +327,51 @@ def fuzzy_name_match(probes: DataFrame, catalog: DataFrame, limit: float = NAME_
         )
         .filter(F.col("ratio") >= limit)
     )
-    order = F.struct("cut", (-F.col("ratio")).alias("r"), "slug")
-    first = cut_lineage(near.groupBy("name").agg(F.min_by(F.struct("slug", "ratio"), order).alias("m")).select("name", "m.*"))
-
-    # two names that differ by two or more deletions on a side are at least this long
-    enough = ceil(limit / (1 - limit) - 1e-9)
-    rest = wanted.join(first, "name", "left_anti").filter(F.length("name") >= enough)
-    pairs = _prefix_pairs(
-        rest.select(F.col("name").alias("id"), F.col("name").alias("text")),
-        owned.filter(F.length("name") >= enough).select(F.col("name").alias("id"), F.col("name").alias("text")),
-        2, limit,
-    )
+    return near.groupBy("name").agg(F.min_by(F.struct("slug", "ratio"), _best()).alias("m")).select("name", "m.*")
+
+
+def fuzzy_name_match(probes: DataFrame, catalog: DataFrame, limit: float = NAME_SIMILARITY) -> DataFrame:
+    """(name, slug, ratio): the catalog name each probe name matches, if any.
+
+    ``probes(name)``, ``catalog(name, slug)``, both lower-cased. Among the names that reach
+    the limit the one with the fewest characters deleted on either side wins, then the
+    highest ratio, then the lowest slug.
+
+    Names are placed depth by depth: those with a match at one deletion a side leave first. What is
+    left goes on only if lengths still allow a match and a pair of rare grams is shared; then come
+    the forms with two deletions, and last the pairs of names themselves.
+    """
+    wanted = cut_lineage(probes.filter(F.length("name") > 0).select("name").distinct())
+    owned = cut_lineage(catalog.filter(F.length("name") > 0).groupBy("name").agg(F.max("slug").alias("slug")))
+    first = cut_lineage(_by_forms(wanted, owned, limit, 1))
+
+    def texts(df: DataFrame) -> DataFrame:
+        return df.select(F.col("name").alias("id"), F.col("name").alias("text"))
+
+    left, held = texts(wanted.join(first, "name", "left_anti")), texts(owned)
+    hot = _hot_grams(held, 2)
+    a = cut_lineage(_keyed(left, held, hot, "la", "lb", 2, limit, 2))
+    b = cut_lineage(_keyed(held, left, hot, "lb", "la", 2, limit, 2))
+
+    def meeting(df: DataFrame, other: DataFrame) -> DataFrame:
+        return df.join(other.select(*MET).distinct(), MET, "left_semi").select(F.col("id").alias("name")).distinct()
+
+    rest, near = cut_lineage(meeting(a, b)), cut_lineage(meeting(b, a))
+    short = F.length("name") <= SHORTENED_LENGTH
+    second = cut_lineage(_by_forms(rest.filter(short), owned.filter(short).join(near, "name", "left_semi"), limit, 2))
+    rest = rest.join(second, "name", "left_anti")
+    pairs = _key_pairs(a.join(rest.withColumnRenamed("name", "id"), "id", "left_semi"), b)
     # edit distance never exceeds the number of deletions plus insertions
     total = F.length("a_id") + F.length("b_id")
-    budget = F.floor(total * (1 - limit) + 1e-9).cast("int")
-    close = pairs.filter(F.expr("levenshtein(a_id, b_id)") <= budget)
+    close = pairs.filter(F.expr(f"levenshtein(a_id, b_id, cast(floor((length(a_id) + length(b_id)) * {1 - limit} + 1e-9D) AS int))") >= 0)
     scored = _spread(close, "a_id", "b_id").withColumn("ratio", _bounded_ratio(limit)("a_id", "b_id")).filter(F.col("ratio").isNotNull())
     joined = scored.join(owned, F.col("b_id") == F.col("name")).drop("name")
     common = F.round(F.col("ratio") * total / 2).cast("int")
     late = joined.select(
         F.col("a_id").alias("name"), "slug", "ratio",
         (F.greatest(F.length("a_id"), F.length("b_id")) - common).alias("cut"),
-    ).groupBy("name").agg(F.min_by(F.struct("slug", "ratio"), order).alias("m")).select("name", "m.*")
-    return first.unionByName(late)
+    ).groupBy("name").agg(F.min_by(F.struct("slug", "ratio"), _best()).alias("m")).select("name", "m.*")
+    return first.unionByName(second).unionByName(late)
 
 
 # ------------------------------------------------------------------ texts
