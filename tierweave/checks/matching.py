@@ -96,6 +96,54 @@ def _(t):
     return similarity.fuzzy_name_match(_edited_parts(t).select("name"), t.part.select(F.lower("p_name").alias("name"), F.concat(F.lit("part-"), "p_partkey").alias("slug")))
 
 
+# names of all customers: a part and the digits of the key in syllables, so all differ
+SYLLABLES = ("zu", "wan", "tri", "kor", "fim", "sex", "bol", "ney", "gha", "pud")
+NAMED = f"""(SELECT c_custkey AS k, 'cust-' || c_custkey AS slug, lower(p_name) || ' ' || array_to_string([{list(SYLLABLES)}[CAST(d AS INT) + 1] FOR d IN string_split(CAST(c_custkey AS VARCHAR), '')], '') AS name
+  FROM customer JOIN part ON p_partkey = c_custkey % (SELECT count(*) FROM part))"""
+RENAMED = f"""(SELECT k, CASE k % 5 WHEN 0 THEN name WHEN 1 THEN substr(name, 1, 3) || substr(name, 5) WHEN 2 THEN substr(name, 1, 4) || 'x' || substr(name, 6, 3) || 'x' || substr(name, 10)
+  WHEN 3 THEN 'q' || substr(name, 1, 6) || 'q' || substr(name, 7, 5) || 'q' || substr(name, 12) ELSE substr(name, 3, 5) || substr(name, 9) || 'v' END AS name FROM {NAMED})"""
+LETTERS = "[length({0}) - length(replace({0}, c, '')) FOR c IN string_split('abcdefghijklmnopqrstuvwxyz ', '')]"
+
+
+def _named(t):
+    digits = F.transform(F.split(F.col("c_custkey").cast("string"), ""), lambda d: F.get(F.array(*map(F.lit, SYLLABLES)), d.cast("int")))
+    parts = t.part.count()
+    both = t.customer.join(t.part, F.col("p_partkey") == F.col("c_custkey") % parts)
+    return both.select(
+        F.col("c_custkey").alias("k"), F.concat(F.lit("cust-"), "c_custkey").alias("slug"),
+        F.concat(F.lower("p_name"), F.lit(" "), F.array_join(digits, "")).alias("name"),
+    )
+
+
+def _renamed(t):
+    name, k = F.col("name"), F.col("k") % 5
+
+    def cut(a, n=None):
+        return F.substr(name, F.lit(a), F.lit(n)) if n else F.substr(name, F.lit(a))
+
+    return _named(t).select("k", F.when(k == 0, name).when(k == 1, F.concat(cut(1, 3), cut(5)))
+        .when(k == 2, F.concat(cut(1, 4), F.lit("x"), cut(6, 3), F.lit("x"), cut(10)))
+        .when(k == 3, F.concat(F.lit("q"), cut(1, 6), F.lit("q"), cut(7, 5), F.lit("q"), cut(12)))
+        .otherwise(F.concat(cut(3, 5), cut(9), F.lit("v"))).alias("name"))
+
+
+# letter counts differ by no more than the characters that may be deleted and inserted: it drops no pair that reaches the limit
+@query("j6_fuzzy_name_customers", f"""WITH n AS (SELECT *, {LETTERS.format('name')} AS letters FROM {NAMED}), e AS (SELECT DISTINCT name, {LETTERS.format('name')} AS letters FROM {RENAMED}),
+ near AS (SELECT e.name, n.name AS held, n.slug FROM e JOIN n ON abs(length(e.name) - length(n.name)) <= 0.15 * (length(e.name) + length(n.name)) + 1e-9
+   WHERE list_sum([abs(e.letters[i] - n.letters[i]) FOR i IN range(1, 28)]) <= 0.15 * (length(e.name) + length(n.name)) + 1e-9)
+SELECT name, slug, ratio FROM (SELECT name, slug, {LCS.format(a='name', b='held')} AS l, 2.0::DOUBLE * l / (length(name) + length(held)) AS ratio, greatest(length(name), length(held)) - l AS cut FROM near)
+ WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY name ORDER BY cut, ratio DESC, slug) = 1""")
+def _(t):
+    return similarity.fuzzy_name_match(_renamed(t).select("name"), _named(t).select("name", "slug"))
+
+
+@query("x10_similarity_customers", f"""SELECT e.k, e.name, n.name AS held, 2.0::DOUBLE * {LCS.format(a='e.name', b='n.name')} / (length(e.name) + length(n.name)) AS ratio
+ FROM {RENAMED} e JOIN {NAMED} n ON n.k = e.k""")
+def _(t):
+    both = _renamed(t).join(_named(t).select("k", F.col("name").alias("held")), "k")
+    return both.select("k", "name", "held", similarity.similarity_ratio("name", "held").alias("ratio"))
+
+
 def _texts(t):
     return t.documents.select(F.concat(F.lit("doc-"), "doc_id").alias("slug"), "text")
 

@@ -38,13 +38,16 @@ def _value(path: str) -> str:
     return "v__" + path.replace(".", "__")
 
 
-#: Bits of the arrival number in the key of a claim.
-ARRIVAL_BITS = 56
+#: Bits of the arrival number in the key of a claim; the four tiers take the two above.
+ARRIVAL_BITS = 61
 
 
 def _claim_key() -> Column:
     """Tier and arrival in one long, so that the least key is the first arrival of the lowest tier."""
-    return F.shiftleft(F.col("source_tier").cast("long"), ARRIVAL_BITS).bitwiseOR(F.col("seq").cast("long"))
+    seq = F.col("seq").cast("long")
+    fits = (seq >= 0) & (seq < 1 << ARRIVAL_BITS) & F.col("source_tier").between(1, 4)
+    key = F.shiftleft(F.col("source_tier").cast("long") - 1, ARRIVAL_BITS).bitwiseOR(seq)
+    return F.when(fits, key).when(~fits, F.raise_error("records need a seq from 0 to 2**61 - 1 and a tier from 1 to 4").cast("long"))
 
 
 def _arrival(key: Column) -> Column:
