@@ -234,5 +234,5 @@ SELECT part, filter_order, step,
   coalesce(sum(n) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
   coalesce(sum(good) FILTER (WHERE mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
   coalesce(sum(toxic) FILTER (WHERE mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
-  coalesce(sum(n * (120 // bit_count(mask))) FILTER (WHERE mask & bit <> 0), 0)::BIGINT AS shapley
+  coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (WHERE mask & bit <> 0), 0)::BIGINT AS shapley
 FROM c, s GROUP BY part, filter_order, step"""
