@@ -33,6 +33,9 @@ CANDIDATE_ROWS = 4096
 BIN_BITS = 12
 #: Below this bound products are exact in double precision and use the fast matrix product.
 EXACT = float(1 << 53)
+#: Largest component after scaling, and end of the range of scores; what lies beyond counts as the end.
+LARGEST = 1 << 52
+LAST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -40,7 +43,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     odd = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ~odd).select(
         F.col(id_col).cast("long").alias("_id"),
-        F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE)).alias("_v"),
+        F.transform(vector_col, lambda x: F.floor(F.least(F.greatest(
+            x.cast("double") * SCALE, F.lit(-float(LARGEST))), F.lit(float(LARGEST))))).alias("_v"),
     )
 
 
@@ -83,19 +87,41 @@ def _query_blocks(queries: DataFrame, many: int) -> DataFrame:
     )
 
 
+def inner_products(q: np.ndarray, m: np.ndarray, top: float) -> np.ndarray:
+    """Inner products of all rows, cut to the range of a long; ``top`` bounds their size."""
+    if top < EXACT:
+        return (q.astype(float) @ m.T.astype(float)).astype(np.int64)
+    s = q @ m.T  # right modulo 2 ** 64, whatever the size
+    if top < 2.0 ** 62:
+        return s
+    about = q.astype(float) @ m.T.astype(float)
+    # what rounding may have moved: a share of the sum of the products' sizes
+    doubt = 1e-12 * (np.abs(q).astype(float) @ np.abs(m).T.astype(float))
+    s[about - doubt > LAST], s[about + doubt < -LAST] = LAST, -LAST
+    for i, j in zip(*np.nonzero(np.abs(np.abs(about) - LAST) <= doubt)):
+        s[i, j] = max(-LAST, min(LAST, sum(a * b for a, b in zip(q[i].tolist(), m[j].tolist()))))
+    return s
+
+
 def _scores(row) -> np.ndarray:
-    """Scores (queries x candidates); the query's own row gets the lowest integer."""
+    """Scores (queries x candidates) counted from the lowest long; the query's own row gets 0."""
     q = np.frombuffer(row.q, np.int64).reshape(row.qn, row.dim)
     m = np.frombuffer(row.m, np.int64).reshape(row.n, row.dim)
-    if float(row.qtop) * float(row.top) * max(row.dim, 1) < EXACT:
-        s = (q.astype(float) @ m.T.astype(float)).astype(np.int64)
-    else:
-        s = q @ m.T
+    s = unsigned(inner_products(q, m, float(row.qtop) * float(row.top) * max(row.dim, 1)))
     own = np.frombuffer(row.qids, np.int64)[:, None] == np.frombuffer(row.ids, np.int64)[None, :]
-    s[own] = np.iinfo(np.int64).min
+    s[own] = 0
     return s
 
 
+def unsigned(s: np.ndarray) -> np.ndarray:
+    """Longs as distances from the lowest one, in the same order."""
+    return s.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def signed(s: np.ndarray) -> np.ndarray:
+    return (s ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _highest(s: np.ndarray, k: int) -> np.ndarray:
     return -np.partition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
 
@@ -107,7 +133,8 @@ def exact_top_k(
 
     Scores are inner products of ``floor(256 * x)``; equal scores go to the smaller id. A query
     never meets rows of its own id, nor vectors of another dimension. Null vectors and vectors
-    with null or non-finite components take no part. With fewer than k candidates all are
+    with null or non-finite components take no part. Components over 2 ** 52 after scaling count as
+    2 ** 52, scores beyond the range of a long as its ends. With fewer than k candidates all are
     returned; repeated query rows each get their own result rows. No other column is read.
     """
     spark = queries.sparkSession
@@ -122,7 +149,7 @@ def exact_top_k(
     asked = cut_lineage(_query_blocks(asked, n_query_blocks))
     most = asked.agg(F.max("qtop")).first()[0]
     # scores lie in [-2**bits, 2**bits)
-    bits = floor(log2(max(1, most * limits[1] * max(1, limits[2])))) + 1
+    bits = min(63, floor(log2(max(1, most * limits[1] * max(1, limits[2])))) + 1)
     slices = min(limits[0], int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = blocks.withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))),
@@ -134,7 +161,7 @@ def exact_top_k(
 
     def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["lo"] = [np.full(n, -(1 << bits), np.int64).tobytes() for n in batch.pop("qn")]
+            batch["lo"] = [np.full(n, (1 << 63) - (1 << bits), np.uint64).tobytes() for n in batch.pop("qn")]
             batch["need"] = [np.full(len(lo) // 8, k, np.int64).tobytes() for lo in batch["lo"]]
             yield batch
 
@@ -149,9 +176,11 @@ def exact_top_k(
             for batch in batches:
                 for row in batch.itertuples():
                     s = _scores(row)
-                    lo = np.frombuffer(row.lo, np.int64)[:, None]
-                    place = (s - lo) >> width
-                    place[(s < lo) | (place >= 1 << step)] = -1
+                    lo = np.frombuffer(row.lo, np.uint64)[:, None]
+                    place = (s - lo) >> np.uint64(width)
+                    outside = (s < lo) | (place >= np.uint64(1 << step)) | (s == 0)
+                    place = place.astype(np.int64)
+                    place[outside] = -1
                     top = _highest(place, k)
                     i, j = np.nonzero(top >= 0)
                     cell, n = np.unique(i.astype(np.int64) << step | top[i, j], return_counts=True)
@@ -167,7 +196,7 @@ def exact_top_k(
             for batch in batches:
                 out = []
                 for row in batch.itertuples():
-                    lo, need = np.frombuffer(row.lo, np.int64).copy(), np.frombuffer(row.need, np.int64).copy()
+                    lo, need = np.frombuffer(row.lo, np.uint64).copy(), np.frombuffer(row.need, np.int64).copy()
                     cells = row.cells if row.cells is not None else []
                     cell = np.array([c["cell"] for c in cells], np.int64)
                     n = np.array([c["n"] for c in cells], np.int64)
@@ -176,7 +205,7 @@ def exact_top_k(
                         # bins from the top; the sign marks queries whose bin is found
                         if need[i] > 0:
                             if count >= need[i]:
-                                lo[i] += int(place) << width
+                                lo[i] += np.uint64(int(place) << width)
                                 need[i] = -need[i]
                             else:
                                 need[i] -= count
@@ -188,16 +217,15 @@ def exact_top_k(
     def let_through(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                s, lo = _scores(row), np.frombuffer(row.lo, np.int64)[:, None]
+                s, lo = _scores(row), np.frombuffer(row.lo, np.uint64)[:, None]
                 ids, qids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.qids, np.int64)
-                own = np.iinfo(np.int64).min
-                i, j = np.nonzero((s >= lo) & (s > own))
-                order = np.lexsort((ids[j], -s[i, j], i))
+                i, j = np.nonzero((s >= lo) & (s > 0))
+                order = np.lexsort((ids[j], ~s[i, j], i))
                 i, j = i[order], j[order]
                 nth = np.arange(len(i)) - np.searchsorted(i, i)
                 i, j = i[nth < k], j[nth < k]
                 yield pd.DataFrame({
-                    "qb": row.qb, "dim": row.dim, "i": i, "query_id": qids[i], "vec_id": ids[j], "score": s[i, j],
+                    "qb": row.qb, "dim": row.dim, "i": i, "query_id": qids[i], "vec_id": ids[j], "score": signed(s[i, j]),
                 })
 
     found = grid(state).mapInPandas(let_through, "qb int, dim int, i int, query_id long, vec_id long, score long")
