@@ -117,6 +117,12 @@ def test_language_held_out_accuracy(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_letters_are_letters():
+    from tierweave.llm.language_id import has_letter
+
+    assert not has_letter("² ½ ① Ⅷ 12 _ !") and not has_letter("") and has_letter("½ ß") and has_letter("1中")
+
+
 def test_language_of_odd_rows(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([
         ("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chat et le chien", "fr"), ("el gato y el perro", "es"),

@@ -38,11 +38,17 @@ FAMILIES = {
     "ru": "slavic", "pl": "slavic", "cs": "slavic", "uk": "slavic", "bg": "slavic", "sk": "slavic",
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A character of a word that is no decimal digit: a letter, or a number of another kind.
+_WORDLIKE = re.compile(r"[^\W\d_]")
 #: Lower case; everything else in ASCII that is no letter becomes a blank.
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (categories L*)."""
+    return any(m.group().isalpha() for m in _WORDLIKE.finditer(text))
+
+
 # ------------------------------------------------------------------ features
 
 
@@ -197,7 +203,7 @@ def with_language(docs: DataFrame, model: Languages, text_col: str = "text") ->
                 some = texts[begin:begin + ROWS]
                 lang, score = known.value.predict(np.stack([text_features(t) for t in some]))
                 for i, t in enumerate(some):
-                    if not _LETTER.search(t):
+                    if not has_letter(t):
                         lang[i], score[i] = UNKNOWN, 0.0
                 parts.append(pd.DataFrame({"lang_pred": lang, "score": score}))
             yield pd.concat(parts) if parts else pd.DataFrame({"lang_pred": [], "score": []})
