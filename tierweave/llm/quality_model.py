@@ -24,9 +24,9 @@ ship(__name__)
 PASSAGE_BYTES = 512
 ENCODED = 24
 GATE = 12
-#: Labelled documents to learn from, per label, and passages of each, spread over the whole text.
+#: Labelled documents to learn from, per label; longer ones are not among them, the others are read whole.
 FIT_DOCS = 1500
-FIT_PASSAGES = 48
+FIT_BYTES = 64 << 10
 STEPS = 250
 #: Texts are turned into passages in groups of about this many bytes.
 GROUP_BYTES = 1 << 20
@@ -145,19 +145,19 @@ def train(x: np.ndarray, many: np.ndarray, label: np.ndarray, weight: np.ndarray
 # ------------------------------------------------------------------ operator
 
 
-def _bags(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, per_doc: int) -> pd.DataFrame:
-    """Feature bags of the chosen documents; at most ``per_doc`` passages each, evenly spread."""
+def _bags(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, longest: int) -> pd.DataFrame:
+    """Feature bags, all passages of the chosen documents of at most ``longest`` bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for label, text in zip(batch["_label"], clean(batch["text"]), strict=True):
                 blocks, lengths, _ = passages([text])
-                pick = np.unique(np.linspace(0, len(blocks) - 1, min(per_doc, len(blocks))).astype(int))
-                rows.append((int(label), len(pick), passage_features(blocks[pick], lengths[pick]).astype(np.float16).tobytes()))
+                rows.append((int(label), len(blocks), passage_features(blocks, lengths).astype(np.float16).tobytes()))
             yield pd.DataFrame(rows, columns=["label", "many", "x"])
 
-    chosen = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(ids), "_doc")
+    chosen = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(ids), "_doc").filter(
+        F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
     return chosen.select("_label", "text").mapInPandas(run, "label int, many int, x binary").toPandas()
 
 
@@ -181,7 +181,7 @@ def fit_quality(
         usable.filter((F.col("_label") == q) & in_sample("_doc", min(1.0, fit_docs / total[q]))).limit(sample_bound(fit_docs))
         for q in (0, 1)
     ]
-    bags = _bags(docs, parts[0].unionByName(parts[1]), id_col, text_col, FIT_PASSAGES)
+    bags = _bags(docs, parts[0].unionByName(parts[1]), id_col, text_col, FIT_BYTES)
     found = bags["label"].value_counts().to_dict()
     if len(found) < 2:
         return float(next(iter(found), 1))
