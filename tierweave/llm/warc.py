@@ -60,7 +60,9 @@ def record_head(row_url: str = "url") -> Column:
     url = F.regexp_replace(row_url, "[\\x00-\\x1F]", "")
     return F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.col("record_type"),
-        F.lit("\r\nWARC-Record-ID: <urn:x-page:"), F.col("page_id").cast("string"), F.lit(">"),
+        F.lit("\r\nWARC-Record-ID: <urn:"),
+        # a page without an id is named by its row
+        F.coalesce(F.concat(F.lit("x-page:"), F.col("page_id").cast("string")), F.concat(F.lit("x-row:"), F.hex("_row"))), F.lit(">"),
         F.coalesce(F.concat(F.lit("\r\nWARC-Target-URI: "), url), F.lit("")),
         F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
         F.when(response, F.lit("")).otherwise(F.concat(
@@ -84,14 +86,15 @@ def write_archives(
 
     Index: page_id, url, payload_digest, payload_bytes, record_type, refers_to, archive, offset,
     length. A NULL html is an empty payload, a NULL url has no field. Payloads under ``min_bytes`` are all responses.
-    Repeated rows (same id and payload) are all of the kind of the first. Rows without an id are
-    not archived. Other columns are not read.
+    Repeated rows (same id and payload) are all of the kind of the first. A page without an id revisits
+    the smallest id of its payload, and is a response where no page of that payload has one. Other
+    columns are not read.
     """
     spark = pages.sparkSession
     folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     html = F.coalesce("html", F.lit(""))
     key = F.xxhash64("page_id", F.coalesce("url", F.lit("")), F.col("url").isNull(), "_sha")
-    whole = pages.filter(F.col("page_id").isNotNull()).select(
+    whole = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"),
         F.octet_length(html).cast("long").alias("payload_bytes"), F.sha1(html).alias("_sha"),
     ).withColumn("_row", key)
@@ -99,14 +102,16 @@ def write_archives(
     firsts = stored(slim.filter(F.col("payload_bytes") >= min_bytes).groupBy("_sha").agg(F.min("page_id").alias("_first")))
     typed = slim.join(firsts, "_sha", "left").select(
         "page_id", "url", "payload_bytes", "_row", base32(F.col("_sha")).alias("payload_digest"),
-        F.when(F.col("_first") < F.col("page_id"), F.col("_first")).alias("refers_to"),
+        F.when(F.coalesce(F.col("_first") < F.col("page_id"), F.lit(True)), F.col("_first")).alias("refers_to"),
     ).withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")).withColumn("head", record_head())
     heads = typed.select("head", "record_type", "refers_to", "payload_digest", F.col("page_id").alias("_page"), F.col("_row").alias("_key")).distinct()
     response = F.col("record_type") == "response"
     records = whole.join(  # equal rows have equal records, so one head serves all of them
-        heads.hint("shuffle_hash"), (whole["page_id"] == heads["_page"]) & (whole["_row"] == heads["_key"]),
+        heads.hint("shuffle_hash"), whole["page_id"].eqNullSafe(heads["_page"]) & (whole["_row"] == heads["_key"]),
     ).select(
-        "page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to",
+        # as text: pandas would make doubles of a column of longs with NULLs
+        F.col("page_id").cast("string").alias("page_id"), "url", "payload_digest", "payload_bytes", "record_type",
+        F.col("refers_to").cast("string").alias("refers_to"),
         F.when(response, F.concat("head", "html")).otherwise(F.col("head")).alias("record"),
     )
 
@@ -130,14 +135,14 @@ def write_archives(
                 spots.append((name, at, len(raw)))
                 at += len(raw)
             batch["archive"], batch["offset"], batch["length"] = zip(*spots, strict=True) if spots else ([], [], [])
-            yield batch.astype({"refers_to": "Int64"})
+            yield batch
         if out is not None:
             out.close()
 
     index = stored(records.mapInPandas(
-        write, "page_id long, url string, payload_digest string, payload_bytes long, record_type string, refers_to long, "
+        write, "page_id string, url string, payload_digest string, payload_bytes long, record_type string, refers_to string, "
         "archive string, offset long, length long",
-    ))
+    ).withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")}))
     return folder, index
 
 
@@ -166,8 +171,9 @@ def parse_record(raw: bytes) -> dict:
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if payload is not None and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
-    page = {k: int(fields[f].split(":")[-1][:-1]) for k, f in (("page_id", "WARC-Record-ID"), ("refers_to", "WARC-Refers-To")) if f in fields}
-    return {"refers_to": None, **page, "record_type": fields["WARC-Type"], "payload_digest": digest, "payload": payload}
+    named = (("page_id", fields["WARC-Record-ID"]), ("refers_to", fields.get("WARC-Refers-To", "")))
+    page = {k: int(v.removeprefix("<urn:x-page:")[:-1]) for k, v in named if v.startswith("<urn:x-page:")}
+    return {"page_id": None, "refers_to": None, **page, "record_type": fields["WARC-Type"], "payload_digest": digest, "payload": payload}
 
 
 def read_records(folder: str, selected: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -192,9 +198,13 @@ def read_records(folder: str, selected: DataFrame, with_payload: bool = False) -
                     found["payload_bytes"] = row.payload_bytes if payload is None else len(payload)
                     out.append(found | {"payload": payload if with_payload else None})
             if out:
-                yield pd.DataFrame(out).astype({"refers_to": "Int64"})
+                columns = {c: [row[c] for row in out] for c in out[0]}
+                # from the list, so that longs beside NULLs stay whole
+                yield pd.DataFrame(columns | {c: pd.array(columns[c], dtype="Int64") for c in ("page_id", "refers_to")})
 
-    return selected.select("archive", "offset", "length", "payload_bytes").repartition("archive").sortWithinPartitions(
+    # a number of its own keeps the small rows of the index from being merged into one task
+    archives = max(1, selected.select("archive").distinct().count())
+    return selected.select("archive", "offset", "length", "payload_bytes").repartition(archives, "archive").sortWithinPartitions(
         "archive", "offset",
     ).mapInPandas(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
@@ -213,10 +223,10 @@ def warc_sql() -> str:
         f"substr('{ALPHABET}', (({word.format(a=5 * i + 1)} >> {s}) & 31)::INT + 1, 1)" for i in range(8) for s in (15, 10, 5, 0)
     )
     return f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages WHERE page_id IS NOT NULL),
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h FROM p),
 f AS (SELECT h, min(page_id) AS first FROM h GROUP BY h)
 SELECT page_id, payload_bytes, {spelt} AS payload_digest,
-  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN first < page_id THEN first END AS refers_to
+  CASE WHEN first IS NOT NULL AND coalesce(first < page_id, true) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN coalesce(first < page_id, true) THEN first END AS refers_to
 FROM h JOIN f USING (h)"""
