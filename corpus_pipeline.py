@@ -55,12 +55,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies.
+    """One document, that with the smallest id, of each group of near copies, linked from 80 percent on.
 
     Ids are taken to be unique: all rows of an id stay if one of them is kept, identical ones too, and
     all rows without an id stay if one of them is kept.
     """
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs, percent=80, bands=60, band_rows=8).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 
