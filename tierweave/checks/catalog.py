@@ -10,6 +10,7 @@ from tierweave.checks.registry import AS_OF, bound, case_map, in_list, list_lit,
 from tierweave.fixed import geo, migration, scoring, taxonomy
 from tierweave.functions.base import blank_to_null
 from tierweave.operators import gaps, index, migrate, normalize, tags, validate
+from tierweave.sources.catalog_io import load_categories
 
 WITH = "WITH " + bound(CATALOG, "c") + " "
 FILE = "slug || '.json'"
@@ -236,13 +237,16 @@ _names = {c[0]: c[1] for c in taxonomy.CATEGORIES}
 
 @query("j10_category_label", WITH + f"SELECT slug, coalesce({case_map('category', _names)}, replace(category, '-', ' '), '') AS label FROM (SELECT slug, CASE WHEN c_custkey % 3 = 0 THEN 'made-up' ELSE category END AS category FROM c)")
 def _(t):
-    from tierweave.functions.text import humanize_label, localized
-    from tierweave.sources.catalog_io import load_categories
+    return index.category_label(_some_made_up(t), load_categories(t.spark)).select("slug", "label")
 
-    cats = F.broadcast(load_categories(t.spark).select(F.col("id").alias("category"), F.col("name").alias("label"), F.col("name_zh").alias("label_zh")))
-    c = t.flat_catalog.select("slug", F.when(F.col("c_custkey") % 3 == 0, "made-up").otherwise(F.col("category")).alias("category"))
-    j = c.join(cats, "category", "left")
-    return j.select("slug", F.coalesce(blank_to_null(localized("label", "label_zh", "en")), humanize_label("category"), F.lit("")).alias("label"))
+
+@query("j10_category_label_zh", WITH + f"SELECT slug, coalesce({case_map('category', {r[0]: r[2] or r[1] for r in taxonomy.CATEGORIES})}, regexp_replace(replace(category, '-', ' '), '\\bai\\b', 'AI'), '') AS label FROM (SELECT slug, CASE WHEN c_custkey % 3 = 0 THEN 'made-up' ELSE category END AS category FROM c)")
+def _(t):
+    return index.category_label(_some_made_up(t), load_categories(t.spark), "zh").select("slug", "label")
+
+
+def _some_made_up(t):
+    return t.flat_catalog.select("slug", F.when(F.col("c_custkey") % 3 == 0, "made-up").otherwise(F.col("category")).alias("category"))
 
 
 # ---------------------------------------------------------------- quality and gaps
@@ -333,6 +337,39 @@ def _(t):
     return _answers(t).select("slug", v["category"].alias("category"), v["status"].alias("status"), F.array_join(v["tags"], "|").alias("tags"), v["has_free_tier"].alias("has_free_tier"))
 
 
+def _full_answers(t):
+    """Answers to all 17 fields: right, of a wrong kind, empty, or outside the allowed values."""
+    k = F.col("p_partkey") % 5
+    texts = ("description", "description_zh", "sub_category", "architecture")
+    lists = ("tags", "modalities", "platforms", "target_audience", "use_cases", "competitors")
+    right = {f: F.concat(F.lit(f" {f} "), "p_name") for f in texts} | {f: F.array(F.col("p_name"), F.lit(" two "), F.lit(" ")) for f in lists} | {
+        "product_type": F.lit("llm"), "category": F.lit("ai-hardware"), "status": F.lit("beta"), "pricing_model": F.lit("freemium"),
+        "has_free_tier": F.lit(True), "open_source": F.lit(False), "api_available": F.lit(True),
+    }
+    odd = {f: F.lit("x") for f in texts} | {f: F.lit("no list") for f in lists} | {
+        f: F.lit("nonsense") for f in ("product_type", "category", "status", "pricing_model", "has_free_tier", "open_source", "api_available")}
+
+    def body(fields):
+        return F.to_json(F.struct(*[fields[f].alias(f) for f in scoring.FILLABLE_PATHS]))
+
+    answer = F.when(k == 0, body(right)).when(k == 1, F.concat(F.lit("```json\n"), body(right), F.lit("\n```"))).when(k == 2, body(odd)).when(k == 3, F.lit("[1]")).otherwise(F.lit("{}"))
+    return t.part.select(F.concat(F.lit("part-"), "p_partkey").alias("slug"), answer.alias("response"))
+
+
+def _right_sql(field):
+    if field in ("description", "description_zh", "sub_category", "architecture"):
+        return f"'{field} ' || p_name"
+    fixed = {"product_type": "llm", "category": "ai-hardware", "status": "beta", "pricing_model": "freemium", "has_free_tier": "true", "open_source": "false", "api_available": "true"}
+    return lit(fixed[field]) if field in fixed else "p_name || '|two'"
+
+
+@query("n8_checked_fields_all", "SELECT concat('part-', p_partkey) AS slug, " + ", ".join(f"CASE WHEN p_partkey % 5 < 2 THEN {_right_sql(f)} END AS {f}" for f in scoring.FILLABLE_PATHS) + " FROM part")
+def _(t):
+    v = gaps.parse_answer(F.col("response"), F.array(*[F.lit(f) for f in scoring.FILLABLE_PATHS]))
+    lists = ("tags", "modalities", "platforms", "target_audience", "use_cases", "competitors")
+    return _full_answers(t).select("slug", *[(F.array_join(c, "|") if f in lists else c.cast("string")).alias(f) for f, c in v.items()])
+
+
 @query("n11_answer_records", "SELECT concat('part-', p_partkey) AS slug, p_name AS name, 'llm-enrichment' AS source, 3 AS source_tier, '' AS source_url FROM part WHERE p_partkey % 4 = 0 OR (p_partkey % 4 = 1 AND p_partkey % 2 = 0)")
 def _(t):
     return gaps.answers_to_records(t.part_catalog, _answers(t)).select("slug", "name", "source", "source_tier", "source_url")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierweave.checks.registry import AS_OF, case_map, first_hit, in_list, lit, query
+from tierweave.bindings import CATALOG
+from tierweave.checks.registry import AS_OF, bound, case_map, first_hit, in_list, list_lit, lit, query
 from tierweave.fixed import geo, migration, scoring, sources, taxonomy
 from tierweave.functions import geo as G
 from tierweave.functions import money as M
 from tierweave.functions import text as X
 from tierweave.functions import url as U
 from tierweave.functions.money import ROUND_BADGES, ROUND_NAMES
+from tierweave.functions.nested import get_json_nested, get_nested
 
 def as_of():
     return F.lit(AS_OF).cast("date")
@@ -57,7 +59,14 @@ def _(t):
 
 @query("f6_get_nested", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.a.b') AS missing FROM events")
 def _(t):
-    return t.events.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.get_json_object("props", "$.a.b").alias("missing"))
+    return t.events.select("event_id", get_json_nested("props", "k").cast("bigint").alias("k"), get_json_nested("props", "a.b").alias("missing"))
+
+
+@query("f6_get_nested_products", "WITH " + bound(CATALOG, "c") + " SELECT slug, city, company_website AS website, CAST(NULL AS INT) AS missing FROM c")
+def _(t):
+    c = t.catalog
+    paths = {"city": "company.headquarters.city", "website": "company.website", "missing": "company.website.host"}
+    return c.select("slug", *[get_nested(c.schema, p).cast("int" if n == "missing" else "string").alias(n) for n, p in paths.items()])
 
 
 @query("f7_set_nested", "SELECT concat('part-', p_partkey) AS slug, 'Oslo' AS city FROM part")
@@ -261,6 +270,26 @@ def _(t):
 MODEL_IN = "concat(CASE p_partkey % 8 WHEN 0 THEN 'GPT-4o-' WHEN 1 THEN 'claude-3-opus-' WHEN 2 THEN 'Llama-3.1-' WHEN 3 THEN 'yi-' WHEN 4 THEN 'my-phi-' WHEN 5 THEN 'Qwen-' WHEN 6 THEN 'gemma-' ELSE 'unknown-' END, p_partkey)"
 
 
+ORG_TABLES = {
+    "arena": (sources.ARENA_ORGS, "prefix"), "paper": (sources.PAPER_ORGS, "contains"), "model": (sources.MODEL_PREFIX_ORGS, "prefix"),
+    "router": (sources.ROUTER_ORGS, "prefix"), "provider": (sources.PROVIDERS, "contains"),
+}
+#: Every key of every table comes up, some behind other text or in upper case.
+ORG_KEYS = sorted({k for table, _ in ORG_TABLES.values() for k in table} | set(sources.HUB_ORGS))
+ORG_NAME = f"CASE p_partkey % 3 WHEN 0 THEN k || '-' || p_partkey WHEN 1 THEN upper(k) ELSE 'new ' || k END"
+ORG_PARTS = f"(SELECT p_partkey, ({list_lit(ORG_KEYS)})[CAST(p_partkey % {len(ORG_KEYS)} AS INT) + 1] AS k FROM part)"
+
+
+@query("f36_guess_org_tables", "SELECT p_partkey, name, " + ", ".join(f"{first_hit('lower(name)', table, mode)} AS {n}" for n, (table, mode) in ORG_TABLES.items())
+       + f", coalesce({case_map('k', sources.HUB_ORGS)}, k) AS hub FROM (SELECT p_partkey, k, {ORG_NAME} AS name FROM {ORG_PARTS})")
+def _(t):
+    from tierweave.functions.base import lookup, strings
+
+    keyed = t.part.select("p_partkey", F.get(strings(ORG_KEYS), (F.col("p_partkey") % len(ORG_KEYS)).cast("int")).alias("k"))
+    named = keyed.select("p_partkey", "k", F.expr(ORG_NAME).alias("name"))
+    return named.select("p_partkey", "name", *[G.guess_org("name", table, mode).alias(n) for n, (table, mode) in ORG_TABLES.items()], lookup("k", sources.HUB_ORGS, F.col("k")).alias("hub"))
+
+
 @query("f36_guess_org", f"SELECT p_partkey, {first_hit(f'lower({MODEL_IN})', sources.ARENA_ORGS, 'prefix')} AS arena, {first_hit(f'lower({MODEL_IN})', sources.PAPER_ORGS, 'contains')} AS paper FROM part")
 def _(t):
     return t.part.select("p_partkey", G.guess_org(F.expr(MODEL_IN), sources.ARENA_ORGS, "prefix").alias("arena"), G.guess_org(F.expr(MODEL_IN), sources.PAPER_ORGS, "contains").alias("paper"))

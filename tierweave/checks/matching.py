@@ -42,6 +42,12 @@ def _(t):
     return resolve.match_by(t.incoming, t.catalog, "name_zh")
 
 
+@query("j4_match_name_zh_orders", R + "SELECT r.seq, max(c.slug) AS match_slug FROM (SELECT seq, '客户' || seq % 2000 AS name_zh FROM r WHERE seq % 2 = 0) r JOIN c ON r.name_zh = c.name_zh GROUP BY r.seq")
+def _(t):
+    named = t.incoming.withColumn("name_zh", F.when(F.col("seq") % 2 == 0, F.concat(F.lit("客户"), F.col("seq") % 2000)))
+    return resolve.match_by(named, t.catalog, "name_zh")
+
+
 @query("j5_match_cross_lingual", R + "SELECT r.seq, max(c.slug) AS match_slug FROM r JOIN c ON lower(r.name) = lower(c.name_zh) GROUP BY r.seq")
 def _(t):
     return resolve.match_by(t.incoming, t.catalog, "cross_lingual")
@@ -165,6 +171,49 @@ def _(t):
     return similarity.near_duplicate_texts(zh, zh).select("slug", "other_slug", "ratio")
 
 
+# descriptions of all customers made of the names of three of them; every fourth is an edited copy of the next one
+WORDS_ZH = ("智能", "搜索", "平台", "助手", "模型", "数据", "语音", "图像", "视频", "安全")
+EDITED_TEXT = "substr({0}, 1, 9) || 'zz' || substr({0}, 11, 15) || substr({0}, 27)"
+
+
+def _described_sql(words, mark, letters):
+    spelled = f"array_to_string([{list(words)}[CAST(d AS INT) + 1] FOR d IN string_split(CAST(c_custkey AS VARCHAR), '')], '')"
+    counts = "[length({0}) - length(replace({0}, c, '')) FOR c IN string_split('" + letters + "', '')]"
+    return f"""WITH w AS (SELECT c_custkey AS k, lower(p_name) || {spelled} AS w FROM customer JOIN part ON p_partkey = c_custkey % (SELECT count(*) FROM part)),
+ n AS (SELECT count(*) AS n FROM customer), b AS (SELECT a.k, a.w || '{mark}' || b.w || '{mark}' || c.w AS text FROM w a, n JOIN w b ON b.k = (a.k * 7 + 3) % n JOIN w c ON c.k = (a.k * 13 + 5) % n),
+ t AS (SELECT a.k, CASE WHEN a.k % 4 = 0 AND o.text IS NOT NULL THEN {EDITED_TEXT.format('o.text')} ELSE a.text END AS text FROM b a LEFT JOIN b o ON o.k = a.k + 1),
+ l AS (SELECT k, text, {counts.format('text')} AS letters FROM t),
+ near AS (SELECT a.k, a.text AS a, b.text AS b FROM l a JOIN l b ON a.k <> b.k AND abs(length(a.text) - length(b.text)) <= 0.1 * (length(a.text) + length(b.text)) + 1e-9
+  WHERE list_sum([abs(a.letters[i] - b.letters[i]) FOR i IN range(1, {len(letters) + 1})]) <= 0.1 * (length(a.text) + length(b.text)) + 1e-9)
+SELECT DISTINCT concat('cust-', k) AS slug FROM (SELECT k, {LCS.format(a='a', b='b')} AS l, length(a) + length(b) AS n FROM near) WHERE 2 * l >= 0.9 * n - 1e-9"""
+
+
+def _described(t, words, mark):
+    digits = F.transform(F.split(F.col("c_custkey").cast("string"), ""), lambda d: F.get(F.array(*map(F.lit, words)), d.cast("int")))
+    n, parts = t.customer.count(), t.part.count()
+    w = t.customer.join(t.part, F.col("p_partkey") == F.col("c_custkey") % parts).select(
+        F.col("c_custkey").alias("k"), F.concat(F.lower("p_name"), F.array_join(digits, "")).alias("w"))
+    b = w.join(w.select(F.col("k").alias("k2"), F.col("w").alias("w2")), F.col("k2") == (F.col("k") * 7 + 3) % n).join(
+        w.select(F.col("k").alias("k3"), F.col("w").alias("w3")), F.col("k3") == (F.col("k") * 13 + 5) % n,
+    ).select("k", F.concat_ws(mark, "w", "w2", "w3").alias("text"))
+    other = b.select((F.col("k") - 1).alias("k"), F.col("text").alias("other"))
+    edited = F.expr(EDITED_TEXT.format("other"))
+    return b.join(other, "k", "left").select(
+        F.concat(F.lit("cust-"), "k").alias("slug"), F.when((F.col("k") % 4 == 0) & F.col("other").isNotNull(), edited).otherwise(F.col("text")).alias("text"))
+
+
+@query("j14_near_duplicate_descriptions", _described_sql(SYLLABLES, ", ", "abcdefghijklmnopqrstuvwxyz, "))
+def _(t):
+    texts = _described(t, SYLLABLES, ", ")
+    return similarity.near_duplicate_texts(texts, texts).select("slug")
+
+
+@query("j15_near_duplicate_descriptions_zh", _described_sql(WORDS_ZH, "、", "".join(sorted(set("".join(WORDS_ZH)))) + "、abcdefghijklmnopqrstuvwxyz "))
+def _(t):
+    texts = _described(t, WORDS_ZH, "、")
+    return similarity.near_duplicate_texts(texts, texts).select("slug")
+
+
 # ---------------------------------------------------------------- cross-validation
 
 

@@ -25,6 +25,15 @@ def _(t):
     return long.withColumn("value", F.when(F.col("path") == PATHS[2], "n").otherwise(F.col("value")))
 
 
+def _long(t):
+    return merge.to_long(t.records.select("slug", "seq", "source", "source_tier", "description", "category", "company_total_raised_usd"))
+
+
+@query("n5_to_long_values", W + f"SELECT slug, path, tier, seq, source, value FROM {LONG_SQL}")
+def _(t):
+    return _long(t)
+
+
 @query("p5_field_allowed", W + f"SELECT slug, path, seq, tier <> 4 OR path IN {in_list(HIRING_PATHS)} AS allowed FROM (SELECT slug, seq, source_tier AS tier, unnest(['description', 'hiring.positions']) AS path FROM r)")
 def _(t):
     long = t.records.select("slug", "seq", "source_tier", F.explode(F.array(F.lit("description"), F.lit("hiring.positions"))).alias("path"))
@@ -40,6 +49,16 @@ def _(t):
     return merge.winners(long).withColumn("value", F.when(F.col("path") == PATHS[2], "n").otherwise(F.col("value")))
 
 
+@query("w3_tier_winner_values", W + f"SELECT slug, path, tier, source, value FROM {WIN_SQL}")
+def _(t):
+    return merge.winners(_long(t))
+
+
+@query("n6_pivot_winners_values", W + "SELECT slug, " + ", ".join(f"max(CASE WHEN path = '{p}' THEN value END) AS {p.replace('.', '_')}" for p in PATHS) + f" FROM {WIN_SQL} GROUP BY slug")
+def _(t):
+    return merge.pivot_winners(merge.winners(_long(t)), list(PATHS))
+
+
 @query("n6_pivot_winners", W + f"SELECT slug, max(CASE WHEN path = 'description' THEN value END) AS description, max(CASE WHEN path = 'category' THEN value END) AS category FROM {WIN_SQL} WHERE path <> 'company.funding.total_raised_usd' GROUP BY slug")
 def _(t):
     long = merge.to_long(t.records.select("slug", "seq", "source", "source_tier", "description", "category"))

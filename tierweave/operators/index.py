@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierweave.fixed.scoring import INDEX_COLUMNS
 from tierweave.functions.base import blank_to_null, truthy
 from tierweave.functions.money import format_currency, format_round
+from tierweave.functions.text import humanize_label, localized
 from tierweave.session import global_row_number
 
 PAGE_SIZE = 12
@@ -155,3 +156,14 @@ def list_slugs(catalog: DataFrame) -> DataFrame:
 
 def card_tags(tags: Column) -> Column:
     return F.slice(tags, 1, 3)
+
+
+def category_label(products: DataFrame, categories: DataFrame, locale: str = "en", category: str = "category") -> DataFrame:
+    """Products with the ``label`` of their category in a language.
+
+    ``categories``: id, name, name_zh, a list of fixed size. A category that is not listed shows its
+    id with blanks for hyphens; a product without one shows nothing.
+    """
+    listed = F.broadcast(categories.select(F.col("id").alias("_id"), localized("name", "name_zh", locale).alias("_label")))
+    shown = F.coalesce(blank_to_null("_label"), humanize_label(category), F.lit(""))
+    return products.join(listed, F.col(category) == F.col("_id"), "left").withColumn("label", shown).drop("_id", "_label")
