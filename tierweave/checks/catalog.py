@@ -9,7 +9,7 @@ from tierweave.checks.functions import SLUG_SQL, as_of
 from tierweave.checks.registry import AS_OF, bound, case_map, in_list, list_lit, lit, query
 from tierweave.fixed import geo, migration, scoring, taxonomy
 from tierweave.functions.base import blank_to_null
-from tierweave.operators import gaps, index, migrate, normalize, tags, validate
+from tierweave.operators import gaps, index, migrate, normalize, ranking, tags, validate
 from tierweave.sources.catalog_io import load_categories
 
 WITH = "WITH " + bound(CATALOG, "c") + " "
@@ -207,6 +207,13 @@ def _(t):
     return index.with_pages(flat_index(t).select("slug", "total_raised_usd"), index.grid_order("funding")).select("slug", F.col("page").cast("bigint").alias("page"))
 
 
+@query("o1_stored_page", WITH + f"SELECT slug, name FROM c ORDER BY coalesce(total_raised_usd, 0) DESC, {FILE} LIMIT 12 OFFSET 36")
+def _(t):
+    # page 4 by a stored ranking; the scan reads the part of the ranking and the keys of the page
+    rows = flat_index(t).select("slug", "name", "total_raised_usd")
+    return ranking.stored_ranking(rows, index.grid_order("funding"), part_rows=20).page(rows, 4, index.PAGE_SIZE).select("slug", "name")
+
+
 @query("w5_page_strip", "SELECT p_partkey, array_to_string(range(greatest(1, p_size - 2), least(50, p_size + 2) + 1), ',') AS strip FROM part")
 def _(t):
     return t.part.select("p_partkey", F.array_join(index.page_strip(F.col("p_size"), F.lit(50)).cast("array<string>"), ",").alias("strip"))

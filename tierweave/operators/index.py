@@ -9,7 +9,7 @@ from tierweave.fixed.scoring import INDEX_COLUMNS
 from tierweave.functions.base import blank_to_null, truthy
 from tierweave.functions.money import format_currency, format_round
 from tierweave.functions.text import humanize_label, localized
-from tierweave.session import global_row_number
+from tierweave.operators.ranking import positions
 
 PAGE_SIZE = 12
 NO_DATA = "-"
@@ -82,8 +82,8 @@ def page_of(index: DataFrame, page: int, by: str = "funding") -> DataFrame:
 
 
 def with_pages(index: DataFrame, order: list[Column]) -> DataFrame:
-    """Every row with its page number."""
-    return global_row_number(index, order).withColumn("page", F.ceil(F.col("rn") / PAGE_SIZE)).drop("rn")
+    """Every row with its page number; slugs must be distinct."""
+    return index.join(positions(index, order), "slug").withColumn("page", F.ceil(F.col("rn") / PAGE_SIZE)).drop("rn")
 
 
 def page_strip(current: Column, total: Column) -> Column:

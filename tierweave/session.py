@@ -41,13 +41,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def global_row_number(df: DataFrame, order: list, name: str = "rn") -> DataFrame:
+def global_row_number(df: DataFrame, order: list, name: str = "rn", keep: list[str] | None = None) -> DataFrame:
     """1-based position under a total order, without a single-partition window.
 
     The frame is range-sorted once and written out; positions inside a partition then only
-    need the number of rows in the partitions before it, one small row per partition.
+    need the number of rows in the partitions before it, one small row per partition. With
+    ``keep`` only these columns are sorted along, written and returned.
     """
-    placed = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = cut_lineage(df.orderBy(*order).select(*(keep or ["*"])).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # one row per partition, so one task is enough for the running sum
