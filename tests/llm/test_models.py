@@ -165,6 +165,63 @@ def test_gradients_equal_differences():
     assert loss(after) < 0.1 * loss(before) and isinstance(after, Attention)
 
 
+def test_first_steps_go_down_the_differences():
+    # the first step of Adam moves every weight against the sign of its derivative
+    from dataclasses import fields
+
+    rng = np.random.default_rng(7)
+    many = np.array([1, 3, 2, 4])
+    x, label = rng.normal(size=(10, 257)).astype(np.float32), np.array([0, 1, 1, 0], np.float32)
+    begin, after = (train(x, many, label, np.array([1, 2, 1, 3], np.float32), steps=n) for n in (0, 1))
+    shares = np.array([1, 2, 1, 3]) / 7
+    start = Attention(*[getattr(begin, f.name).astype(float) for f in fields(Attention)])
+
+    def loss():
+        p = start.score(x.astype(float), many)
+        return -(shares * (label * np.log(p) + (1 - label) * np.log(1 - p))).sum() + 5e-6 * sum((getattr(start, f.name) ** 2).sum() for f in fields(Attention))
+
+    checked = 0
+    for f in fields(Attention):
+        held, moved = getattr(start, f.name), getattr(after, f.name).astype(float) - getattr(begin, f.name)
+        for i in rng.choice(held.size, min(held.size, 40), replace=False):
+            was = held.flat[i]
+            held.flat[i] = was + 1e-5
+            up = loss()
+            held.flat[i] = was - 1e-5
+            slope = (up - loss()) / 2e-5
+            held.flat[i] = was
+            if abs(slope) > 1e-5:
+                assert np.sign(moved.flat[i]) == -np.sign(slope), (f.name, i, slope)
+                checked += 1
+    assert checked > 150
+
+
+def test_languages_equal_a_loop_over_machines():
+    rng = np.random.default_rng(3)
+    members = {"f": ["fa", "fb", "fc"], "g": ["ga"], "h": ["ha", "hb"]}
+    pairs = {(a, b): rng.normal(size=6) for codes in members.values() for i, a in enumerate(codes) for b in codes[i + 1:]}
+    model = Languages(sorted(members), members, rng.normal(size=(3, 6)), pairs)
+    x = rng.normal(size=(200, 5))
+    lang, score = model.predict(x)
+    for row, got, sure in zip(np.c_[x, np.ones(200)], lang, score, strict=True):
+        margin = {name: row @ w for name, w in zip(model.families, model.family, strict=True)}
+        name = max(margin, key=margin.get)
+        first, second = sorted(margin.values(), reverse=True)[:2]
+        votes = dict.fromkeys(members[name], 0)
+        total = dict.fromkeys(members[name], 0.0)
+        for (a, b), w in pairs.items():
+            if a in votes:
+                m = row @ w
+                votes[a if m > 0 else b] += 1
+                total[a] += m
+                total[b] -= m
+        best = max(votes, key=lambda c: votes[c] + 1e-3 * np.tanh(total[c]))
+        want = 1 / (1 + np.exp(-2 * (first - second)))
+        if len(votes) > 1:
+            want = min(want, 1 / (1 + np.exp(-2 * max(total[best], 0) / (len(votes) - 1))))
+        assert got == best and abs(sure - want) < 1e-9
+
+
 def test_passages_cover_whole_texts():
     texts = ["", "a" * 512, "é" * 600, "b" * 1300]
     blocks, lengths, many = passages(texts)

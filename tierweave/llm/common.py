@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import re
 import sys
 import types
-import zlib
 from collections.abc import Callable
 
 from pyspark import cloudpickle
@@ -69,19 +67,6 @@ def clean(values) -> list[str]:
     return [v if isinstance(v, str) else "" for v in values]
 
 
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Even partitions whatever the layout of the input: only for small, heavy rows."""
-    return df.repartition(max(1, rows))
-
-
-def crc(text: str) -> int:
-    return zlib.crc32(text.encode())
-
-
-def basename(path: str) -> str:
-    return os.path.basename(path)
-
-
 class Memo(dict):
     """Remembered results of ``make``, at most two generations of ``limit`` entries.
 
