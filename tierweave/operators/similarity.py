@@ -12,7 +12,8 @@ probe against at most two leaders per sketch, so a group of copies of any size c
 work. Only texts that found no partner this way are compared further: with the texts of a
 fitting length whose letter counts are close enough, in evenly sized blocks. No equality key
 can find every pair at this limit (an edit every few characters leaves no long common run),
-so this last step is what makes the answer complete; ``exact_tail=False`` leaves it out.
+so this last step is what makes the answer complete. It grows with the square of the texts that are
+without a partner by then.
 """
 
 from __future__ import annotations
@@ -402,7 +403,7 @@ def _other_owner(low: Column, high: Column, own: Column) -> Column:
     return F.when(low != own, low).when(high != own, high)
 
 
-def near_duplicate_texts(probes: DataFrame, catalog: DataFrame, limit: float = DESCRIPTION_SIMILARITY, exact_tail: bool = True) -> DataFrame:
+def near_duplicate_texts(probes: DataFrame, catalog: DataFrame, limit: float = DESCRIPTION_SIMILARITY) -> DataFrame:
     """(slug, id, other_slug, ratio): one catalog text of another slug each probe nearly equals.
 
     Both sides are ``(slug, text)``; ``id`` is the digest of the probe text. Probes are compared when their trimmed text has 20
@@ -454,10 +455,7 @@ def near_duplicate_texts(probes: DataFrame, catalog: DataFrame, limit: float = D
         ).select("slug", "id", "m.*")
 
     probe_ids = open_probes.select("slug", "id")
-    quick = verify(met, probe_ids)
-    if not exact_tail:
-        return exact.unionByName(quick)
-    quick = cut_lineage(quick)
+    quick = cut_lineage(verify(met, probe_ids))
     left = cut_lineage(probe_ids.join(quick.select("slug", "id"), ["slug", "id"], "left_anti"))
     left_texts = open_texts.join(left.select("id").distinct(), "id", "left_semi")
     return exact.unionByName(quick).unionByName(verify(_block_pairs(left_texts, texts, limit), left))
