@@ -11,6 +11,7 @@ from tierweave.fixed import geo, scoring, tag_rules, taxonomy
 from tierweave.functions.base import (
     WHITESPACE, blank_to_null, col, compact, lookup, strings, strip, truthy,
 )
+from tierweave.functions.patterns import folded, matches_folded
 from tierweave.functions.text import han_runs, meaningful_words
 
 RULE_GROUP = 30
@@ -36,9 +37,10 @@ def search_text() -> Column:
     return F.array_join(F.concat(compact(*parts), words), " ")
 
 
-def text_tags(text: Column, rules=tag_rules.TEXT_RULES) -> Column:
-    """Tags of every text rule that matches, in rule order."""
-    hits = [F.when(text.rlike(f"(?iU){p}"), strings(tags)) for p, tags in rules]
+def text_tags(text: Column, rules=tag_rules.TEXT_RULES, low: Column | None = None) -> Column:
+    """Tags of every text rule that matches, in rule order; ``low`` is the folded text if it is at hand."""
+    low = folded(text) if low is None else low
+    hits = [F.when(matches_folded(text, low, p), strings(tags)) for p, tags in rules]
     groups = [F.flatten(compact(*hits[i:i + RULE_GROUP])) for i in range(0, len(hits), RULE_GROUP)]
     return F.concat(*groups)
 
@@ -88,10 +90,10 @@ def platform_tags(platforms: Column) -> Column:
     return F.flatten(F.transform(_or_none(platforms), of_one))
 
 
-def inferred_tags(valid=taxonomy.TAG_IDS, text: Column | None = None) -> Column:
+def inferred_tags(valid=taxonomy.TAG_IDS, text: Column | None = None, low: Column | None = None) -> Column:
     """Existing tags, then the inferred ones, first occurrence kept, at most 20."""
     found = F.concat(
-        text_tags(search_text() if text is None else text),
+        text_tags(search_text() if text is None else text, low=low),
         _table_tags("category", tag_rules.CATEGORY_TAGS),
         _table_tags("sub_category", tag_rules.SUB_CATEGORY_TAGS),
         _table_tags("product_type", tag_rules.PRODUCT_TYPE_TAGS),
@@ -107,8 +109,8 @@ def inferred_tags(valid=taxonomy.TAG_IDS, text: Column | None = None) -> Column:
 
 def infer_tags(catalog: DataFrame, valid=taxonomy.TAG_IDS) -> DataFrame:
     """Catalog with ``tags`` completed. The search text is built once per row."""
-    with_text = catalog.withColumn("_text", search_text())
-    return with_text.withColumn("tags", inferred_tags(valid, F.col("_text"))).drop("_text")
+    with_text = catalog.withColumn("_text", search_text()).withColumn("_low", folded(F.col("_text")))
+    return with_text.withColumn("tags", inferred_tags(valid, F.col("_text"), F.col("_low"))).drop("_text", "_low")
 
 
 def gathered_terms() -> Column:
