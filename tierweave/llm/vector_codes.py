@@ -33,8 +33,8 @@ FIRST_TRIED = 6
 ROWS = 2048
 #: Components below this have exact squared distances in 64 bits, for up to 2 ** 5 a part.
 NARROW = 1 << 28
-#: Share of the distances by which rounding may shift a bound.
-SLACK = 1e-12
+#: Share of the distances by which rounding to floats may shift a bound.
+SLACK = 1e-6
 
 
 # ------------------------------------------------------------------ integers
@@ -62,7 +62,7 @@ def _alike(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of rows, exact."""
     d = a - b
-    return np.einsum("ij,ij->i", d, d) if d.dtype == np.int64 else (d * d).sum(axis=1)
+    return (d * d).sum(axis=1) if d.dtype == object else np.einsum("ij,ij->i", d, d)
 
 
 def pivot_distances(parts: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -76,7 +76,7 @@ def pivot_distances(parts: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 def _root(squared: np.ndarray) -> np.ndarray:
     """Square roots as doubles; infinite where a double cannot hold them."""
-    if squared.dtype == np.int64:
+    if squared.dtype != object:
         return np.sqrt(squared.astype(np.float64))
     return np.array([float(s) ** 0.5 if s < 1 << 1000 else np.inf for s in squared])
 
@@ -92,44 +92,51 @@ def choose_pivots(entries: np.ndarray, many: int = PIVOTS) -> np.ndarray:
     return entries[taken]
 
 
+def lower_bounds(part_pivots: np.ndarray, entry_pivots: np.ndarray) -> np.ndarray:
+    """For each entry and part the largest difference of their distances to a pivot."""
+    bound = np.zeros((len(entry_pivots), len(part_pivots)), np.float32)
+    with np.errstate(invalid="ignore", over="ignore"):
+        a, b = part_pivots.T.astype(np.float32), entry_pivots.T.astype(np.float32)
+        for p in range(len(a)):
+            np.maximum(bound, np.abs(a[p][None, :] - b[p][:, None]), out=bound)
+    # where a distance is too large for a float nothing is known
+    return np.nan_to_num(bound, copy=False, nan=0, posinf=0)
+
+
 def nearest(
     parts: np.ndarray, entries: np.ndarray, part_pivots: np.ndarray, entry_pivots: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """Nearest entry of each part (ties to the lower index), its squared distance, evaluations made."""
     parts, entries = _alike(parts, entries)
+    if parts.dtype == np.int64 and parts.shape[1] <= 1024 and max(np.abs(parts).max(initial=0), np.abs(entries).max(initial=0)) < 1 << 20:
+        # doubles hold these integers, and all sums below, exactly
+        parts, entries = parts.astype(np.float64), entries.astype(np.float64)
     n, many = len(parts), len(entries)
-    bound = np.zeros((n, many))
-    with np.errstate(invalid="ignore"):
-        for p in range(part_pivots.shape[1]):
-            np.maximum(bound, np.nan_to_num(np.abs(part_pivots[:, p, None] - entry_pivots[None, :, p]), nan=0, posinf=0), out=bound)
+    bound = lower_bounds(part_pivots, entry_pivots)
     # no distance exceeds the way over a pivot, so rounding errors are a share of that way
     slack = SLACK * (part_pivots.max(axis=1, initial=0) + entry_pivots.max(initial=0))
-    rows = np.arange(n)
     tried = min(FIRST_TRIED, many)
-    order = np.sort(np.argpartition(bound, tried - 1, axis=1)[:, :tried], axis=1)
-    best = choice = None
-    for place in order.T:
+    order = np.sort(np.argpartition(bound, tried - 1, axis=0)[:tried], axis=0)
+    choice = order[0].copy()
+    best = _squared(parts, entries[choice])
+    for place in order[1:]:
         squared = _squared(parts, entries[place])
-        if best is None:
-            best, choice = squared, place.copy()
-        else:
-            nearer = squared < best
-            best, choice = np.where(nearer, squared, best), np.where(nearer, place, choice)
-    left = bound <= (_root(best) + slack)[:, None]
-    left[rows[:, None], order] = False
-    i, j = np.nonzero(left)
-    if len(i):
-        squared = _squared(parts[i], entries[j])
-        begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-        row = i[begins]
-        least = np.minimum.reduceat(squared, begins)
-        # entries of a row rise, so the first one at the least distance is the one of lowest index
-        hits = np.flatnonzero(squared == np.repeat(least, np.diff(np.r_[begins, len(i)])))
-        _, first = np.unique(i[hits], return_index=True)
-        place = j[hits[first]]
-        better = (least < best[row]) | ((least == best[row]) & (place < choice[row]))
-        best[row[better]], choice[row[better]] = least[better], place[better]
-    return choice, best, n * tried + len(i)
+        nearer = squared < best
+        best[nearer], choice[nearer] = squared[nearer], place[nearer]
+    bound[order, np.arange(n)] = np.inf
+    limit = _root(best) + slack
+    evaluated = n * tried
+    for j in range(many):
+        left = np.flatnonzero(bound[j] <= limit)
+        if len(left):
+            squared = _squared(parts[left], entries[j][None, :])
+            evaluated += len(left)
+            held = best[left]
+            better = (squared < held) | ((squared == held) & (j < choice[left]))
+            moved = left[better]
+            best[moved], choice[moved] = squared[better], j
+            limit[moved] = _root(best[moved]) + slack[moved]
+    return choice, best if best.dtype == object else best.astype(np.int64), evaluated
 
 
 # ------------------------------------------------------------------ codebooks
