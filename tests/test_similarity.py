@@ -138,3 +138,34 @@ def test_plans_have_no_cartesian_product(spark):
     plan = near_duplicate_texts(df, df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
+
+
+def test_last_step_keeps_texts_not_pairs(spark):
+    # a dense group without word breaks: a text stops at its first partner, so no pairs are unfolded
+    from tierweave.operators import similarity
+
+    rows = [(f"i{i:03d}", f"面向企业的智能搜索平台支持多模态检索与自动化流程{i:03d}", f"s{i:03d}", f"s{i:03d}") for i in range(200)]
+    a, b = (spark.createDataFrame(rows, "id string, text string, low string, high string") for _ in range(2))
+    found = similarity._block_matches(a, b, 0.9).collect()
+    assert sorted(r.id for r in found) == [r[0] for r in rows]
+    assert all(r.low != "s" + r.id[1:] and r.ratio >= 0.9 for r in found)
+
+
+def test_block_partners_equal_brute_force():
+    import pandas as pd
+
+    from tierweave.operators.similarity import block_partners
+
+    rng = random.Random(17)
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(20, 60))) for _ in range(40)]
+    texts += ["".join(rng.choice("xyz") if rng.random() < 0.08 else c for c in t) for t in texts]
+    low = [f"s{rng.randrange(9)}" for _ in texts]
+    high = [max(x, f"s{rng.randrange(9)}") for x in low]
+    df = pd.DataFrame({"id": [f"{i:03d}" for i in range(80)], "text": texts, "low": low, "high": high})
+    got = {}
+    for key, lo, hi, ratio in block_partners(df, df, 0.9):
+        got.setdefault(key, set()).update({lo, hi})
+    for i, t in enumerate(texts):
+        owners = {s for j, o in enumerate(texts) if j != i and slow_ratio(t, o) >= 0.9 for s in (low[j], high[j])}
+        for slug in {low[i], high[i]}:
+            assert bool(got.get(f"{i:03d}", set()) - {slug}) == bool(owners - {slug}), (i, slug)
