@@ -25,3 +25,18 @@ def test_job_keywords(spark):
     df = spark.createDataFrame([("大模型算法工程师",), ("Plumber",), ("LLM Engineer",)], "t string")
     got = df.select(text.matches_ai_job("t", F.lit("")).alias("m"), text.job_category("t", F.lit("")).alias("c")).collect()
     assert [(r.m, r.c) for r in got] == [(True, "llm-foundation-model"), (False, None), (True, "llm-foundation-model")]
+
+
+def test_amounts_are_rounded_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from tierweave.checks import ORACLES, QUERIES
+
+    # 128605 * 0.001 is 128.605, and 100 times that is below 12860.5
+    rows = [(3, 128605.0), (7, 1005.0), (2, 115000.0), (6, 235000.0), (1, 1500.5)]
+    spark.createDataFrame(rows, "o_orderkey long, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    want = con.execute(ORACLES["f26_format_currency"]).fetchall()
+    assert sorted(map(tuple, QUERIES["f26_format_currency"](spark, str(tmp_path)).collect())) == sorted(want)
+    assert dict(want)[3] == "$128.6"
