@@ -10,6 +10,7 @@ from tierweave.checks.registry import bound, case_map, in_list, list_lit, lit, q
 from tierweave.fixed import geo, scoring, tag_rules, taxonomy, terms
 from tierweave.functions import text as X
 from tierweave.operators import index, search, tags
+from tierweave.session import spread
 
 C = "WITH " + bound(CATALOG, "c") + " "
 P = "WITH " + bound(PART_TEXT, "p") + " "
@@ -23,7 +24,7 @@ def _text_rules(text: str) -> str:
 
 @query("x5_text_tags", P + f"SELECT p_partkey, array_to_string({_text_rules('text')}, '|') AS tags FROM p")
 def _(t):
-    return t.part_text.select("p_partkey", F.array_join(tags.text_tags(F.col("text")), "|").alias("tags"))
+    return spread(t.part_text).select("p_partkey", F.array_join(tags.text_tags(F.col("text")), "|").alias("tags"))
 
 
 TEXT_SQL = "array_to_string(list_filter([nullif(name, ''), nullif(description, ''), nullif(description_zh, ''), nullif(name_zh, '')], lambda x: x IS NOT NULL), ' ')"

@@ -60,3 +60,11 @@ def group(c: Column | str, pattern: str, idx: int = 1) -> Column:
 def compact(*parts: Column) -> Column:
     """Array of the parts that are not NULL."""
     return F.array_compact(F.array(*parts))
+
+
+def computed_once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body reads it.
+
+    Written out it would be computed at every place, and a body of many places outgrows what is compiled.
+    """
+    return F.transform(F.array(value), body)[0]

@@ -34,9 +34,9 @@ from pyspark.sql import types as T
 from tierweave.fixed.scoring import (
     DESCRIPTION_SIMILARITY, MIN_COMPARED_DESCRIPTION, NAME_SIMILARITY,
 )
-from tierweave.functions.base import strip
+from tierweave.functions.base import computed_once, strip
 from tierweave.operators.prefix_tree import nearest
-from tierweave.session import cut_lineage
+from tierweave.session import cut_lineage, spread
 
 # send the helpers below with the task, so that workers need no installed copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -151,11 +151,6 @@ def _bounded_ratio(limit: float):
     return bounded
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Even partitions for work that costs far more than its bytes suggest."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 # ------------------------------------------------------------------ grams
 
 
@@ -234,7 +229,7 @@ def _keyed(df: DataFrame, other: DataFrame, hot: dict[str, int], mine: str, thei
     def keys(texts: pd.Series, others: pd.Series) -> pd.Series:
         return pd.Series([prefix_keys(t, n, hot, q, limit) for t, n in zip(texts, others)])
 
-    return _spread(_partner_lengths(df, other, limit, cut), "id", "other").select(
+    return spread(_partner_lengths(df, other, limit, cut), "id", "other").select(
         "id", F.length("text").alias(mine), F.col("other").alias(theirs), F.explode(keys("text", "other")).alias("key"),
     )
 
@@ -378,7 +373,7 @@ def _by_forms(wanted: DataFrame, owned: DataFrame, limit: float) -> DataFrame:
     these joins are never left to a broadcast.
     """
     def forms(df: DataFrame) -> DataFrame:
-        return _spread(df, "name").withColumn("form", F.explode(_shortened(F.col("name"))))
+        return spread(df, "name").withColumn("form", F.explode(_shortened(F.col("name"))))
 
     best = forms(owned).groupBy("form", F.length("name").alias("b_len")).agg(F.min("slug").alias("slug"))
     a_len, kept = F.length("name"), F.length("form")
@@ -439,7 +434,7 @@ def _by_grams(wanted: DataFrame, owned: DataFrame, limit: float) -> DataFrame:
     # edit distance never exceeds the number of deletions plus insertions
     total = F.length("a_id") + F.length("b_id")
     close = _key_pairs(a, b).filter(F.expr(f"levenshtein(a_id, b_id, cast(floor((length(a_id) + length(b_id)) * {1 - limit} + 1e-9D) AS int))") >= 0)
-    scored = _spread(close, "a_id", "b_id").withColumn("ratio", _bounded_ratio(limit)("a_id", "b_id")).filter(F.col("ratio").isNotNull())
+    scored = spread(close, "a_id", "b_id").withColumn("ratio", _bounded_ratio(limit)("a_id", "b_id")).filter(F.col("ratio").isNotNull())
     common = F.round(F.col("ratio") * total / 2).cast("int")
     return scored.join(owned, F.col("b_id") == F.col("name")).select(
         F.col("a_id").alias("name"), "slug", "ratio",
@@ -477,11 +472,6 @@ def fuzzy_name_match(probes: DataFrame, catalog: DataFrame, limit: float = NAME_
 # ------------------------------------------------------------------ texts
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _sketch(text: Column) -> Column:
     """A few minimum hashes over runs of three words."""
 
@@ -493,7 +483,7 @@ def _sketch(text: Column) -> Column:
     def least(hashes: Column, j: int) -> Column:
         return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(j))))
 
-    return _bind(_bind(F.split(text, r"\s+"), runs), lambda hashes: F.array(*[
+    return computed_once(computed_once(F.split(text, r"\s+"), runs), lambda hashes: F.array(*[
         F.struct(F.lit(j).alias("j"), least(hashes, j).alias("h")) for j in range(SKETCHES)
     ]))
 
@@ -540,7 +530,7 @@ def near_duplicate_texts(probes: DataFrame, catalog: DataFrame, limit: float = D
         a = open_texts.select(F.col("id").alias("a_id"), F.col("text").alias("a_text"))
         b = texts.select(F.col("id").alias("b_id"), F.col("text").alias("b_text"))
         scored = (
-            _spread(pairs.join(a, "a_id").join(b, "b_id"), "a_id", "b_id")
+            spread(pairs.join(a, "a_id").join(b, "b_id"), "a_id", "b_id")
             .withColumn("ratio", bounded("a_text", "b_text"))
             .filter(F.col("ratio").isNotNull())
             .join(owners.withColumnRenamed("id", "b_id"), "b_id")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tierweave import schemas
 from tierweave.fixed import geo, scoring, tag_rules, taxonomy
 from tierweave.functions.base import (
-    WHITESPACE, blank_to_null, col, compact, lookup, strings, strip, truthy,
+    WHITESPACE, blank_to_null, col, compact, computed_once, lookup, strings, strip, truthy,
 )
 from tierweave.functions.patterns import folded, matches_folded
 from tierweave.functions.text import han_runs, meaningful_words
@@ -40,6 +40,10 @@ def search_text() -> Column:
 def text_tags(text: Column, rules=tag_rules.TEXT_RULES, low: Column | None = None) -> Column:
     """Tags of every text rule that matches, in rule order; ``low`` is the folded text if it is at hand."""
     low = folded(text) if low is None else low
+    return computed_once(F.struct(text.alias("text"), low.alias("low")), lambda t: _rule_tags(t["text"], t["low"], rules))
+
+
+def _rule_tags(text: Column, low: Column, rules) -> Column:
     hits = [F.when(matches_folded(text, low, p), strings(tags)) for p, tags in rules]
     groups = [F.flatten(compact(*hits[i:i + RULE_GROUP])) for i in range(0, len(hits), RULE_GROUP)]
     return F.concat(*groups)
