@@ -10,6 +10,7 @@ from tierweave.checks.registry import AS_OF, bound, case_map, in_list, list_lit,
 from tierweave.fixed import geo, migration, scoring, taxonomy
 from tierweave.functions.base import blank_to_null
 from tierweave.operators import gaps, index, migrate, normalize, ranking, tags, validate
+from tierweave.session import spread
 from tierweave.sources.catalog_io import load_categories
 
 WITH = "WITH " + bound(CATALOG, "c") + " "
@@ -360,7 +361,7 @@ def _full_answers(t):
         return F.to_json(F.struct(*[fields[f].alias(f) for f in scoring.FILLABLE_PATHS]))
 
     answer = F.when(k == 0, body(right)).when(k == 1, F.concat(F.lit("```json\n"), body(right), F.lit("\n```"))).when(k == 2, body(odd)).when(k == 3, F.lit("[1]")).otherwise(F.lit("{}"))
-    return t.part.select(F.concat(F.lit("part-"), "p_partkey").alias("slug"), answer.alias("response"))
+    return spread(t.part).select(F.concat(F.lit("part-"), "p_partkey").alias("slug"), answer.alias("response"))
 
 
 def _right_sql(field):
@@ -372,9 +373,10 @@ def _right_sql(field):
 
 @query("n8_checked_fields_all", "SELECT concat('part-', p_partkey) AS slug, " + ", ".join(f"CASE WHEN p_partkey % 5 < 2 THEN {_right_sql(f)} END AS {f}" for f in scoring.FILLABLE_PATHS) + " FROM part")
 def _(t):
-    v = gaps.parse_answer(F.col("response"), F.array(*[F.lit(f) for f in scoring.FILLABLE_PATHS]))
     lists = ("tags", "modalities", "platforms", "target_audience", "use_cases", "competitors")
-    return _full_answers(t).select("slug", *[(F.array_join(c, "|") if f in lists else c.cast("string")).alias(f) for f, c in v.items()])
+    asked = F.array(*[F.lit(f) for f in scoring.FILLABLE_PATHS])
+    v = _full_answers(t).withColumn("_answer", gaps.answer(F.col("response"), asked))
+    return v.select("slug", *[(F.array_join(c, "|") if f in lists else c.cast("string")).alias(f) for f in scoring.FILLABLE_PATHS for c in [F.col("_answer")[f]]])
 
 
 @query("n11_answer_records", "SELECT concat('part-', p_partkey) AS slug, p_name AS name, 'llm-enrichment' AS source, 3 AS source_tier, '' AS source_url FROM part WHERE p_partkey % 4 = 0 OR (p_partkey % 4 = 1 AND p_partkey % 2 = 0)")
