@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.fixed.scoring import SEARCH_THRESHOLD, SEARCH_WEIGHTS
+from tierweave.functions.base import computed_once
 from tierweave.operators.index import file_order
+from tierweave.session import spread
 
 CONTAINED = 0.1
 
@@ -27,12 +29,13 @@ def _word_distance(text: Column, term: str) -> Column:
 
 def key_distance(value: Column, term: str) -> Column:
     """Distance of one text value, NULL when it does not match."""
-    low = F.lower(value)
-    d = (
-        F.when(low == term, F.lit(0.0)).when(F.contains(low, F.lit(term)), F.lit(CONTAINED))
-        .otherwise(_word_distance(low, term))
-    )
-    return F.when(d <= SEARCH_THRESHOLD, d)
+    def of(low: Column) -> Column:
+        return (
+            F.when(low == term, F.lit(0.0)).when(F.contains(low, F.lit(term)), F.lit(CONTAINED))
+            .otherwise(_word_distance(low, term))
+        )
+
+    return computed_once(F.lower(value), lambda low: computed_once(of(low), lambda d: F.when(d <= SEARCH_THRESHOLD, d)))
 
 
 def search(index: DataFrame, query: str) -> DataFrame:
@@ -47,6 +50,8 @@ def search(index: DataFrame, query: str) -> DataFrame:
         else:
             d = key_distance(F.col(key), term)
         gains.append(F.lit(weight) * (1 - d))
-    scored = index.withColumn("_gains", F.array_compact(F.array(*gains))).filter(F.size("_gains") > 0)
-    total = F.aggregate("_gains", F.lit(0.0), lambda acc, g: acc + g)
-    return scored.withColumn("score", F.round(total, 6)).drop("_gains").orderBy(F.desc("score"), file_order())
+    # NULL where no key matches
+    score = computed_once(F.array_compact(F.array(*gains)), lambda found: F.when(
+        F.size(found) > 0, F.round(F.aggregate(found, F.lit(0.0), lambda acc, g: acc + g), 6),
+    ))
+    return spread(index).withColumn("score", score).filter(F.col("score").isNotNull()).orderBy(F.desc("score"), file_order())
