@@ -54,7 +54,7 @@ def first_match(text: Column, table: Mapping[str, str], mode: str) -> Column:
 
 def group(c: Column | str, pattern: str, idx: int = 1) -> Column:
     """Capture ``idx`` of the first match, NULL when there is none or it is empty."""
-    return blank_to_null(F.regexp_extract(col(c), pattern, idx))
+    return computed_once(F.regexp_extract(col(c), pattern, idx), lambda found: F.when(found != "", found))
 
 
 def compact(*parts: Column) -> Column:

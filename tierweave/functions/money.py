@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tierweave.fixed.sources import TC_FUNDING
-from tierweave.functions.base import col, group, lookup, strip
+from tierweave.functions.base import col, computed_once, group, lookup, strip
 
 # Funding round -> display name, funding round -> badge class.
 ROUND_NAMES = {
@@ -23,15 +23,16 @@ ROUND_BADGES = {
 
 def money_value(raw: Column) -> Column:
     """Number of an amount like ``1,200.5M``; the suffix must be upper case."""
-    digits = F.replace(strip(raw), F.lit(","), F.lit(""))
-    suffix = F.right(digits, F.lit(1))
-    factor = (
-        F.when(suffix == "T", 1e12).when(suffix == "B", 1e9).when(suffix == "M", 1e6)
-        .when(suffix == "K", 1e3).otherwise(1.0)
-    )
-    bare = F.when(suffix.isin("T", "B", "M", "K"), F.substr(digits, F.lit(1), F.length(digits) - 1)).otherwise(digits)
-    number = F.when(bare.rlike(r"^(\d+\.?\d*|\.\d+)$"), bare.try_cast("double"))
-    return number * factor
+    def value(digits: Column) -> Column:
+        suffix = F.right(digits, F.lit(1))
+        factor = (
+            F.when(suffix == "T", 1e12).when(suffix == "B", 1e9).when(suffix == "M", 1e6)
+            .when(suffix == "K", 1e3).otherwise(1.0)
+        )
+        bare = F.when(suffix.isin("T", "B", "M", "K"), F.substr(digits, F.lit(1), F.length(digits) - 1)).otherwise(digits)
+        return F.when(bare.rlike(r"^(\d+\.?\d*|\.\d+)$"), bare.try_cast("double")) * factor
+
+    return computed_once(F.replace(strip(raw), F.lit(","), F.lit("")), value)
 
 
 def parse_money(text: Column | str, pattern: str) -> Column:
@@ -54,17 +55,19 @@ def funding_round(title: Column | str) -> Column:
 
 def employee_range(text: Column | str) -> Column:
     """Standard range by the upper bound; text without a dash stays as it is."""
-    raw = strip(F.replace(col(text), F.lit(","), F.lit("")))
-    parts = F.split(raw, "-")
-    low = parts[0].try_cast("int")
-    high = F.rtrim(parts[1], F.lit("+")).try_cast("int")
-    ranged = (
-        F.when(low.isNull() | high.isNull(), raw)
-        .when(high <= 10, "1-10").when(high <= 50, "11-50").when(high <= 200, "51-200")
-        .when(high <= 500, "201-500").when(high <= 1000, "501-1000")
-        .when(high <= 5000, "1001-5000").otherwise("5001+")
-    )
-    return F.when(raw.contains("-"), ranged).otherwise(raw)
+    def standard(raw: Column) -> Column:
+        parts = F.split(raw, "-")
+        low = parts[0].try_cast("int")
+        high = F.rtrim(parts[1], F.lit("+")).try_cast("int")
+        ranged = (
+            F.when(low.isNull() | high.isNull(), raw)
+            .when(high <= 10, "1-10").when(high <= 50, "11-50").when(high <= 200, "51-200")
+            .when(high <= 500, "201-500").when(high <= 1000, "501-1000")
+            .when(high <= 5000, "1001-5000").otherwise("5001+")
+        )
+        return F.when(raw.contains("-"), ranged).otherwise(raw)
+
+    return computed_once(strip(F.replace(col(text), F.lit(","), F.lit(""))), standard)
 
 
 def team_size_range(size: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.fixed import sources as S
-from tierweave.functions.base import strip
+from tierweave.functions.base import computed_once, strip
 from tierweave.functions.text import is_table_header, looks_like_salary
 
 #: Places of one page; pages are numbered below 2**31.
@@ -23,8 +23,9 @@ def matches(body: Column, pattern: str, groups: int) -> Column:
 
 def with_fallback(first: Column, second: Column, fewer_than: int, replace: bool = False) -> Column:
     """``first``, extended (or replaced) by ``second`` when it has too few entries."""
-    other = second if replace else F.concat(first, second)
-    return F.when(F.size(first) < fewer_than, other).otherwise(first)
+    return computed_once(first, lambda found: F.when(
+        F.size(found) < fewer_than, second if replace else F.concat(found, second)
+    ).otherwise(found))
 
 
 def explode_entries(landed: DataFrame, entries: Column) -> DataFrame:
@@ -76,13 +77,8 @@ def job_listings(landed: DataFrame) -> DataFrame:
         lambda m: F.struct(m["g2"].alias("company_name"), m["g3"].alias("location"), m["g1"].alias("job_title"), F.lit("").alias("salary")),
     )
     cards = F.array_compact(F.transform(matches(body, S.JOB_CARD, 3), lambda m: _job(m["g1"], m["g2"], m["g3"], none)))
-    # each step reads the column before it, so no pattern runs twice
-    found = landed.select("seq", "url", "body", headings.alias("jobs"))
-    found = found.withColumn("jobs", with_fallback(F.col("jobs"), tables, 3))
-    found = found.withColumn("jobs", with_fallback(F.col("jobs"), cards, 3))
-    return found.select("seq", "url", F.posexplode("jobs").alias("pos", "j")).select(
-        (F.col("seq") * POSITIONS + F.col("pos")).alias("seq"), F.col("url").alias("page_url"), "j.*"
-    )
+    # not a column of its own: Spark would also filter by its size, and run every pattern again for that
+    return explode_entries(landed, with_fallback(with_fallback(headings, tables, 3), cards, 3))
 
 
 

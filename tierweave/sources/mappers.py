@@ -92,27 +92,30 @@ def crunchbase_records(landed: DataFrame, targets: DataFrame | None = None) -> D
         pages = landed.join(targets.select("name", "url"), "url")
     else:
         pages = landed.withColumn("name", F.initcap(F.replace(page_slug(), F.lit("-"), F.lit(" "))))
-    hq = group(body, S.CB_HQ)
-    worth = M.parse_money(body, S.CB_VALUATION)
-    investors = F.filter(F.transform(F.split(group(body, S.CB_INVESTORS), ","), lambda i: strip(i)), lambda i: i != "")
-    year = group(body, S.CB_FOUNDED).cast("int")
-    rows = pages.select(
-        "seq", "name", F.col("url").alias("source_url"), F.col("name").alias("company_name"),
+    found = F.struct(
         M.parse_money(body, S.CB_FUNDING).alias("company_total_raised_usd"),
         F.replace(F.lower(strip(group(body, S.CB_ROUND))), F.lit(" "), F.lit("-")).alias("company_last_round"),
         M.employee_range(group(body, S.CB_EMPLOYEES)).alias("company_employee_count_range"),
-        F.when(year.between(1900, F.year(_fetched_on())), year).alias("company_founded_year"),
-        G.headquarters_city(hq).alias("company_headquarters_city"),
-        G.headquarters_country(hq).alias("company_headquarters_country"),
+        group(body, S.CB_FOUNDED).cast("int").alias("year"), group(body, S.CB_HQ).alias("hq"),
+        M.parse_money(body, S.CB_VALUATION).alias("worth"),
+        F.array_join(F.filter(F.transform(F.split(group(body, S.CB_INVESTORS), ","), lambda i: strip(i)), lambda i: i != ""), ", ").alias("investors"),
+    )
+    # unfolded from an array, as a filter on columns would run every pattern again
+    rows = pages.select("seq", "name", "url", "fetched_at", F.explode(F.array(found)).alias("f")).select("seq", "name", "url", "fetched_at", "f.*")
+    rows = rows.withColumn("company_founded_year", F.when(F.col("year").between(1900, F.year(_fetched_on())), F.col("year")))
+    raised = F.coalesce("company_total_raised_usd", F.lit(0.0)) != 0
+    return rows.filter(raised | F.col("company_founded_year").isNotNull() | truthy("company_employee_count_range")).select(
+        "seq", "name", F.col("url").alias("source_url"), F.col("name").alias("company_name"),
+        "company_total_raised_usd", "company_last_round", "company_employee_count_range", "company_founded_year",
+        G.headquarters_city("hq").alias("company_headquarters_city"),
+        G.headquarters_country("hq").alias("company_headquarters_country"),
         F.lit("active").alias("status"),
         _extra(
             crunchbase_url=F.col("url"),
-            crunchbase_valuation_usd=F.when(worth != 0, worth.cast("bigint").cast("string")),
-            crunchbase_investors=F.array_join(investors, ", "),
+            crunchbase_valuation_usd=F.when(F.col("worth") != 0, F.col("worth").cast("bigint").cast("string")),
+            crunchbase_investors=F.col("investors"),
         ).alias("extra"),
     )
-    raised = F.coalesce("company_total_raised_usd", F.lit(0.0)) != 0
-    return rows.filter(raised | F.col("company_founded_year").isNotNull() | truthy("company_employee_count_range"))
 
 
 @source("crunchbase", 1)
