@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tierweave.checks import QUERIES
 from tierweave.functions import money
 from tierweave.sources import extract
 from tierweave.sources.mappers import crunchbase_records
@@ -41,3 +42,9 @@ def test_an_amount_is_cut_out_once(spark):
     out = df.select(money.parse_money(F.col("t"), "worth (.*)").alias("v"))
     assert plan_of(out).count("regexp_extract(") == 1
     assert [r.v for r in out.collect()] == [15000.0, None, None]
+
+
+def test_payloads_are_built_in_more_than_one_task(spark):
+    for name in ("m2_crunchbase", "m5_toolify", "m19_google_play", "m21_job_listings"):
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "Repartition" in plan, name

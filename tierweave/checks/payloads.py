@@ -11,12 +11,14 @@ from tierweave.checks.matching import near_description
 from tierweave.checks.registry import bound, query
 from tierweave.plans.enrich import enrich, requests
 from tierweave.plans.ingest import ingest
+from tierweave.session import spread
 from tierweave.sources.extract import job_listings
 from tierweave.sources.mappers import crawl_targets, discovered, discovered_to_records
 from tierweave.sources.registry import map_sources, sources
 
 def landed(df: DataFrame, seq: str, name: str, body: Column, url: Column | str = "https://feed.example/page", fmt: str = "json") -> DataFrame:
-    return df.select(
+    # payloads outgrow the rows they are made of, so these are spread first
+    return spread(df).select(
         F.col(seq).cast("bigint").alias("seq"), (F.lit(url) if isinstance(url, str) else url).alias("url"), F.lit(name).alias("source"),
         F.lit(fmt).alias("format"), body.alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))
 
