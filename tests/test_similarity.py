@@ -169,3 +169,36 @@ def test_block_partners_equal_brute_force():
         owners = {s for j, o in enumerate(texts) if j != i and slow_ratio(t, o) >= 0.9 for s in (low[j], high[j])}
         for slug in {low[i], high[i]}:
             assert bool(got.get(f"{i:03d}", set()) - {slug}) == bool(owners - {slug}), (i, slug)
+
+
+def test_texts_of_no_fitting_length_meet_no_block(spark):
+    from tierweave.operators import similarity
+
+    def texts(*sizes):
+        return spark.createDataFrame([(f"t{n}", "x" * n, "a", "a") for n in sizes], "id string, text string, low string, high string")
+
+    sizes, held = range(20, 700), (71, 72, 84, 500)
+    met = {r.n for r in similarity._bands_met(texts(*sizes), texts(*held), 0.9).collect()}
+    assert {la for la in sizes if any(2 * min(la, lb) / (la + lb) >= 0.9 for lb in held)} <= met
+    # the band of 54 meets that of 71, but no text of 54 can reach the limit there
+    assert not met & {54, 200, 350}
+
+
+def test_lengths_are_cut_to_what_a_step_can_meet(monkeypatch):
+    import pandas as pd
+
+    from tierweave.operators import similarity
+
+    widths = []
+    kept = similarity._letter_counts
+    monkeypatch.setattr(similarity, "_letter_counts", lambda t: widths.append(len(t)) or kept(t))
+    rng = random.Random(11)
+    rows = [("".join(rng.choice("abcdefgh") for _ in range(n)), n) for n in (30, 31, 33, 36, 38, 60, 61, 90) for _ in range(3)]
+    df = pd.DataFrame([(f"{i:03}", t, f"s{i}", f"s{i}") for i, (t, _) in enumerate(rows + [(t[:4] + "z" + t[4:], n) for t, n in rows])], columns=["id", "text", "low", "high"])
+    monkeypatch.setattr(similarity, "BLOCK_STEP", 5)
+    found = {k for k, *_ in similarity.block_partners(df, df, 0.9)}
+    assert found == set(df["id"])
+    apart = df[df["text"].str.len() > 80], df[df["text"].str.len() < 40]
+    widths.clear()
+    assert list(similarity.block_partners(*apart, 0.9)) == []
+    assert widths == [len(apart[1])]  # nothing of the probes was counted
