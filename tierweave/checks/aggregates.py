@@ -9,6 +9,7 @@ from tierweave.checks.functions import DOMAIN_SQL, as_of
 from tierweave.checks.registry import bound, query
 from tierweave.fixed.taxonomy import TAGS
 from tierweave.operators import index, normalize, quota, resolve, stats
+from tierweave.session import cut_lineage, spread
 
 WITH = "WITH " + bound(CATALOG, "c") + " "
 FILE = "slug || '.json'"
@@ -104,7 +105,8 @@ def _(t):
 
 
 def _judged(t):
-    r = normalize.with_issues(normalize.normalize(t.incoming), as_of())
+    # read by every step of resolving
+    r = cut_lineage(normalize.with_issues(normalize.normalize(spread(t.incoming)), as_of()))
     found = resolve.resolve(r, t.catalog)
     return found.select("source", (F.size("issues") > 0).alias("rejected"), "match_slug")
 
