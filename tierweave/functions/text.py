@@ -29,13 +29,14 @@ _SPELLED = {
 
 def fold_latin(text: Column | str) -> Column:
     """Accented Latin letters to ASCII, combining marks removed."""
-    c = col(text)
+    given = c = col(text)
     single = {**_FOLDABLE, **{k: v for k, v in _SPELLED.items() if len(v) == 1}}
     c = F.translate(c, "".join(single), "".join(single.values()))
     for src, dst in _SPELLED.items():
         if len(dst) > 1:
             c = F.replace(c, F.lit(src), F.lit(dst))
-    return F.regexp_replace(c, r"\p{M}", "")
+    # plain ASCII has as many bytes as characters
+    return F.when(F.octet_length(given) == F.length(given), given).otherwise(F.regexp_replace(c, r"\p{M}", ""))
 
 
 def slugify(text: Column | str) -> Column:

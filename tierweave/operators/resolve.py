@@ -9,7 +9,7 @@ from tierweave.functions.base import blank_to_null, compact, truthy
 from tierweave.functions.text import slugify
 from tierweave.functions.url import extract_domain
 from tierweave.operators.similarity import fuzzy_name_match
-from tierweave.session import cut_lineage
+from tierweave.session import cut_lineage, spread
 
 # Rule names in order of precedence.
 RULES = (
@@ -17,29 +17,30 @@ RULES = (
 )
 
 
-def _key(kind: str, value: Column) -> Column:
-    return F.when(truthy(value), F.struct(F.lit(kind).alias("kind"), value.alias("key")))
+def _filled(df: DataFrame, owner: str, inputs: list[str], values: dict[str, Column], heads: list[dict[str, str | int]]) -> DataFrame:
+    """(owner, heads, key) of every value that is not empty.
 
-
-def _probe(rule: str, kind: str, value: Column) -> Column:
-    return F.when(truthy(value), F.struct(
-        F.lit(RULES.index(rule)).alias("rule"), F.lit(kind).alias("kind"), value.alias("key"),
-    ))
+    Rows are spread first, and the values become columns before they are tested: written out in
+    the tests, Spark computes each of them three times.
+    """
+    computed = spread(df.select(owner, *inputs)).select(owner, *[v.alias(k) for k, v in values.items()])
+    keys = compact(*[
+        F.when(truthy(c), F.struct(*[F.lit(v).alias(k) for k, v in head.items()], F.col(c).alias("key")))
+        for c, head in zip(values, heads)
+    ])
+    return computed.select(owner, F.explode(keys).alias("x")).select(owner, "x.*")
 
 
 def catalog_keys(catalog: DataFrame) -> DataFrame:
     """(kind, key) -> slug for every equality rule; the highest slug owns a shared key."""
-    keys = compact(
-        _key("domain", extract_domain("product_url")),
-        _key("domain", extract_domain(F.col("company.website"))),
-        _key("name", F.lower("name")),
-        _key("zh", F.col("name_zh")),
-        _key("zh_lower", F.lower("name_zh")),
-        _key("slug", F.col("slug")),
-    )
-    return catalog.select("slug", F.explode(keys).alias("k")).groupBy("k.kind", "k.key").agg(
-        F.max("slug").alias("match_slug")
-    )
+    kinds = {
+        "domain": extract_domain("product_url"), "site": extract_domain("website"), "named": F.lower("name"),
+        "zh": F.col("name_zh"), "zh_lower": F.lower("name_zh"), "own": F.col("slug"),
+    }
+    heads = [{"kind": k} for k in ("domain", "domain", "name", "zh", "zh_lower", "slug")]
+    flat = catalog.select("slug", "product_url", F.col("company.website").alias("website"), "name", "name_zh")
+    keys = _filled(flat, "slug", ["product_url", "website", "name", "name_zh"], kinds, heads)
+    return keys.groupBy("kind", "key").agg(F.max("slug").alias("match_slug"))
 
 
 def _probes(records: DataFrame, shared_hosts) -> DataFrame:
@@ -47,14 +48,15 @@ def _probes(records: DataFrame, shared_hosts) -> DataFrame:
         d = extract_domain(c)
         return F.when(~d.isin(*shared_hosts), d) if shared_hosts else d
 
-    return records.select("seq", F.explode(compact(
-        _probe("product_domain", "domain", domain("product_url")),
-        _probe("company_domain", "domain", domain("company_website")),
-        _probe("name", "name", F.lower("name")),
-        _probe("name_zh", "zh", F.col("name_zh")),
-        _probe("cross_lingual", "zh_lower", F.lower("name")),
-        _probe("slug", "slug", slugify("name")),
-    )).alias("x")).select("seq", "x.*")
+    values = {
+        "product_domain": domain("product_url"), "company_domain": domain("company_website"), "same_name": F.lower("name"),
+        "same_zh": F.col("name_zh"), "cross_lingual": F.lower("name"), "spelled": slugify("name"),
+    }
+    heads = [{"rule": RULES.index(r), "kind": k} for r, k in (
+        ("product_domain", "domain"), ("company_domain", "domain"), ("name", "name"),
+        ("name_zh", "zh"), ("cross_lingual", "zh_lower"), ("slug", "slug"),
+    )]
+    return _filled(records, "seq", ["product_url", "company_website", "name", "name_zh"], values, heads)
 
 
 def resolve(records: DataFrame, catalog: DataFrame, fuzzy: bool = True, shared_hosts: tuple[str, ...] = ()) -> DataFrame:
