@@ -335,6 +335,12 @@ def _bands_met(probes: DataFrame, build: DataFrame, limit: float) -> DataFrame:
         "n", F.floor(F.col("class") / LENGTH_CLASSES).cast("int").alias("band")).distinct()
 
 
+def _of_fitting_lengths(df: DataFrame, other: DataFrame, limit: float) -> DataFrame:
+    """The texts whose length leaves a partner in ``other`` possible; a row per length is broadcast."""
+    able = _bands_met(df, other, limit).select("n").distinct()
+    return df.join(F.broadcast(cut_lineage(able)), F.length("text") == F.col("n"), "left_semi")
+
+
 def _block_matches(probes: DataFrame, build: DataFrame, limit: float) -> DataFrame:
     """(id, low, high, ratio): partners of the probe texts, one at least per slug and block that holds any.
 
@@ -520,15 +526,16 @@ def near_duplicate_texts(probes: DataFrame, catalog: DataFrame, limit: float = D
     """(slug, id, other_slug, ratio): one catalog text of another slug each probe nearly equals.
 
     Both sides are ``(slug, text)``; ``id`` is the digest of the probe text. Probes are compared when their trimmed text has 20
-    characters, catalog texts when the raw text has. Which of several partners is named is
+    characters, catalog texts when the raw text has. Texts of a length that nothing on the other side
+    fits are left out before anything else is done with them. Which of several partners is named is
     fixed by the data, not by the run.
     """
-    wanted = probes.filter(F.length(strip("text")) >= MIN_COMPARED_DESCRIPTION).select(
-        "slug", "text", F.sha2("text", 256).alias("id")
-    )
-    held = catalog.filter(F.length("text") >= MIN_COMPARED_DESCRIPTION).select(
-        "slug", "text", F.sha2("text", 256).alias("id")
-    )
+    wanted = probes.filter(F.length(strip("text")) >= MIN_COMPARED_DESCRIPTION).select("slug", "text")
+    held = catalog.filter(F.length("text") >= MIN_COMPARED_DESCRIPTION).select("slug", "text")
+    if probes is not catalog:
+        # whole texts are hashed, sketched and written below: only those that can have a partner at all
+        wanted, held = _of_fitting_lengths(wanted, held, limit), _of_fitting_lengths(held, wanted, limit)
+    wanted, held = (df.withColumn("id", F.sha2("text", 256)) for df in (wanted, held))
     owners = held.groupBy("id").agg(F.min("slug").alias("low"), F.max("slug").alias("high"))
 
     same = wanted.select("slug", "id").join(owners, "id").select(
