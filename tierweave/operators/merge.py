@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tierweave import schemas
 from tierweave.fixed.scoring import ARRAY_PATHS, HIRING_PATHS, PROVENANCE_LEAVES, SCALAR_PATHS
 from tierweave.fixed.taxonomy import MAX_TAGS
-from tierweave.functions.base import blank_to_null, truthy
+from tierweave.functions.base import blank_to_null, computed_once, truthy
 from tierweave.functions.geo import trust_score
 from tierweave.functions.url import company_url
 
@@ -38,6 +38,10 @@ def _value(path: str) -> str:
     return "v__" + path.replace(".", "__")
 
 
+def _unseen(path: str) -> str:
+    return "u__" + path.replace(".", "__")
+
+
 #: Bits of the arrival number in the key of a claim; the four tiers take the two above.
 ARRIVAL_BITS = 61
 
@@ -87,8 +91,9 @@ def _summarise_scalars(records: DataFrame) -> DataFrame:
 
     def winner(slot: str) -> Column:
         at = _arrival(F.col(slot))
-        c = F.get(F.filter("_claims", lambda x: x["seq"] == at), F.lit(0))
-        return F.when(F.col(slot).isNotNull(), F.struct(c["values"][slot].alias("value"), c["tier"].alias("tier"), c["source"].alias("source")))
+        own = F.transform(F.filter("_claims", lambda x: x["seq"] == at), lambda c: F.struct(
+            c["values"][slot].alias("value"), c["tier"].alias("tier"), c["source"].alias("source")))
+        return F.when(F.col(slot).isNotNull(), F.get(own, F.lit(0)))
 
     return least.join(fetched, "slug").select("slug", *[winner(s).alias(s) for s in slots])
 
@@ -174,23 +179,40 @@ def _set_scalars(as_of: Column) -> tuple[dict[str, Column], list[Column]]:
     return values, entries
 
 
+def _known(path: str) -> Column:
+    """The old items as text."""
+    is_struct = isinstance(schemas.field_type(schemas.PRODUCT, path).elementType, T.StructType)
+    old_text = F.transform(_old(path), lambda x: F.to_json(x)) if is_struct else _old(path)
+    return F.coalesce(old_text, F.array().cast("array<string>"))
+
+
+def _unseen_items() -> dict[str, Column]:
+    """Per array path the items found that the product does not hold yet."""
+    def without(found: Column, known: Column) -> Column:
+        return F.filter(found, lambda x: ~F.coalesce(F.array_contains(known, x["item"]), F.lit(False)))
+
+    out = {}
+    for path in ARRAY_PATHS.values():
+        found = F.try_element_at(F.col("found"), F.lit(path))
+        is_struct = isinstance(schemas.field_type(schemas.PRODUCT, path).elementType, T.StructType)
+        # in the filter the old items would be written as text for every item found
+        out[path] = computed_once(_known(path), lambda known: without(found, known)) if is_struct else without(found, _known(path))
+    return out
+
+
 def _set_arrays(as_of: Column) -> tuple[dict[str, Column], list[Column]]:
     """Old items followed by the unseen ones; tags cut to the limit once something is added."""
     values, entries = {}, []
     for path in ARRAY_PATHS.values():
         dtype = schemas.field_type(schemas.PRODUCT, path)
-        old = _old(path)
+        old, fresh = _old(path), F.col(_unseen(path))
         is_struct = isinstance(dtype.elementType, T.StructType)
-        old_text = F.transform(old, lambda x: F.to_json(x)) if is_struct else old
-        known = F.coalesce(old_text, F.array().cast("array<string>"))
-        found = F.try_element_at(F.col("found"), F.lit(path))
-        fresh = F.filter(found, lambda x: ~F.coalesce(F.array_contains(known, x["item"]), F.lit(False)))
         added = F.coalesce(F.size(fresh), F.lit(0)) > 0
         items = F.transform(fresh, lambda x: F.from_json(x["item"], dtype.elementType) if is_struct else x["item"])
         merged = F.concat(F.coalesce(old, F.array().cast(dtype)), items)
         if path == "tags":
             # an item past the limit is added again each time it arrives
-            room = F.greatest(F.lit(MAX_TAGS) - F.size(known), F.lit(0))
+            room = F.greatest(F.lit(MAX_TAGS) - F.size(_known(path)), F.lit(0))
             moments = F.transform(fresh, lambda x, i: F.when(i < room, x["first"]).otherwise(x["last"]))
             merged = F.slice(merged, 1, MAX_TAGS)
         else:
@@ -249,20 +271,26 @@ def tiered_merge(catalog: DataFrame, records: DataFrame, as_of: Column) -> DataF
     found = _summarise_scalars(records).join(_summarise_arrays(records), "slug", "left")
     base = catalog.select(F.col("slug"), F.struct(*[F.col(c) for c in schemas.PRODUCT.names]).alias("p"))
     joined = base.join(found, "slug", "left")
+    # unseen items and new owners become columns first: several expressions read them, and the owners
+    # would be put together again for every old one
+    joined = joined.select("*", *[v.alias(_unseen(path)) for path, v in _unseen_items().items()])
     touched = F.col(_slot("company.url")).isNotNull()
 
     scalars, s_entries = _set_scalars(as_of)
     arrays, a_entries = _set_arrays(as_of)
-    fresh = F.map_from_entries(F.array_compact(F.array(*s_entries, *a_entries)))
     values = {
         **scalars, **arrays,
         "sources": F.when(touched, _appended_sources(as_of)).otherwise(_old("sources")),
         "meta.last_updated": F.when(touched, as_of.cast("date")).otherwise(_old("meta.last_updated")),
-        "meta.provenance": F.when(touched, upsert_provenance(_old("meta.provenance"), fresh)).otherwise(_old("meta.provenance")),
     }
-    # the new values become columns first: rebuilding a parent looks at each of them again
-    flat = joined.select("p", *[v.alias(_value(path)) for path, v in values.items()])
-    return flat.select(*_rebuild(schemas.PRODUCT, {path: F.col(_value(path)) for path in values}))
+    # the new values become columns too: rebuilding a parent looks at each of them again
+    flat = joined.select(
+        "p", touched.alias("touched"), *[v.alias(_value(path)) for path, v in values.items()],
+        F.map_from_entries(F.array_compact(F.array(*s_entries, *a_entries))).alias("owners"),
+    )
+    owned = F.when(F.col("touched"), upsert_provenance(_old("meta.provenance"), F.col("owners"))).otherwise(_old("meta.provenance"))
+    flat = flat.withColumn(_value("meta.provenance"), owned)
+    return flat.select(*_rebuild(schemas.PRODUCT, {path: F.col(_value(path)) for path in (*values, "meta.provenance")}))
 
 
 # ---------------------------------------------------------------- creation
