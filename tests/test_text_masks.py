@@ -67,3 +67,17 @@ def test_texts_alike_at_one_end_meet_in_sorted_order(spark, monkeypatch):
     assert sorted(r.slug for r in got) == [s for s, _ in rows]
     assert all(r.other_slug != r.slug and r.ratio >= 0.9 for r in got)
     assert not asked
+
+
+def test_words_together_or_one_after_the_other_give_the_same(monkeypatch):
+    rng = random.Random(12)
+    texts = sorted(["".join(rng.choice("abcd ef") for _ in range(rng.randint(380, 420))) for _ in range(30)], key=len)
+    texts += [edited(rng, texts[-1], r, "abc") for r in (0.02, 0.05, 0.07, 0.08, 0.09, 0.1) for _ in range(3)]
+    texts.sort(key=len)
+    masks = text_masks.Masks(texts, text_masks.bucket_table(texts))
+    found = []
+    for wide in (1, 1024):
+        monkeypatch.setattr(text_masks, "WIDE", wide)
+        found.append([masks.may_reach(t, 0, len(texts), 0.9).tolist() for t in texts])
+    assert found[0] == found[1]
+    assert all(i in row for i, row in enumerate(found[0]))
